@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, fingerprints, mixing, packing
+from . import chat, exact_dedup, fingerprints, jaccard_join, mixing, packing, substring_dedup, suffix_dedup
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -37,6 +41,14 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.log_of(rows.unionByName(extra))))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_likeness(table(spark, sf_dir, "documents"))
 
@@ -49,7 +61,10 @@ def queries() -> dict:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_mix_sources": op2_mix_sources,
+        "op4_substring_dedup": op4_substring_dedup,
         "op6_chat_formatting": op6_chat_formatting,
+        "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_fingerprints": op9_fingerprints,
         "op10_exact_dedup": op10_exact_dedup,
     }
