@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, fingerprints, jaccard_join, mixing, packing, substring_dedup, suffix_dedup
+from . import chat, exact_dedup, fingerprints, html_extract, jaccard_join, mixing, packing, substring_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -27,10 +27,19 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_ids(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -61,7 +70,9 @@ def queries() -> dict:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_mix_sources": op2_mix_sources,
+        "op3_html_extraction": op3_html_extraction,
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_toxicity": op5_toxicity,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_jaccard_join": op8_jaccard_join,
