@@ -226,7 +226,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of the edges (a, b) reaches.
+    """(node, root): the smallest node that each node of the edges (a, b) reaches; roots themselves are left out.
 
     Alternating large and small stars: each round points every node's greater
     neighbours, then its lesser ones, at the least of them.  The rounds grow

@@ -6,7 +6,8 @@ sources still below.  Every document of a source then expects
 ``target / size`` copies.  The documents of a source lie in order of size; the
 prefix sum of their expected copies plus one random offset crosses integers, and
 a document is emitted once for each that it crosses.  Ordering by size makes the
-words taken differ from the target by less than the longest document.
+words taken differ from the target by less than the longest document, and of
+``TRIES`` random offsets a source takes the one whose words come nearest.
 
 Prefix sums need no task that holds a source: rows are counted by cell (source,
 size, salt), the cells summed in order, and rows numbered within their cell.
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Parts that the rows of one source and size are dealt into.
 SALTS = 64
+#: Random offsets that a source draws from.
+TRIES = 16
 
 
 def word_count(text: Column) -> Column:
@@ -89,23 +92,33 @@ def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return _mixed(rows, **({"weights": (5, 2, 1), "max_repeat": 3, "share": 1.0, "seed": 42} | options))
 
 
+def _edge(rank: Column, offset: Column) -> Column:
+    """Integers that the prefix sum of ``rank`` documents has crossed."""
+    return F.floor(rank * F.col("rate") + offset)
+
+
 def _mixed(rows: DataFrame, weights, max_repeat, share, seed) -> DataFrame:
     cell = ["src", "src_null", "size", "salt"]
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(SALTS)))
     counts = rows.groupBy(*cell).agg(F.count("*").alias("n"))
     sizes = counts.groupBy("src", "src_null").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     before = Window.partitionBy("src", "src_null").orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    # The offset of a source: a multiple of 2**-20 below 1, so that whole rates stay whole.
-    offset = F.pmod(F.xxhash64("src", "src_null", F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = targets(sizes, weights, max_repeat, share).withColumn("rate", rate).withColumn("offset", offset)
+    plan = targets(sizes, weights, max_repeat, share).withColumn("rate", rate)
     cells = starts.join(plan, ["src", "src_null"])
+    # Multiples of 2**-20 below 1, so that whole rates stay whole.
+    draws = [F.pmod(F.xxhash64("src", "src_null", F.lit(seed), F.lit(i)), F.lit(1 << 20)) / F.lit(float(1 << 20)) for i in range(TRIES)]
+    words = [F.col("size") * (_edge(F.col("start") + F.col("n"), u) - _edge(F.col("start"), u)) for u in draws]
+    each = cells.groupBy("src", "src_null").agg(F.first("target").alias("target"), *[F.sum(w).alias(f"w{i}") for i, w in enumerate(words)])
+    tries = F.array(*[F.struct(F.abs(F.col(f"w{i}") - F.col("target")).alias("off"), u.alias("offset")) for i, u in enumerate(draws)])
+    best = each.select("src", "src_null", F.array_min(tries)["offset"].alias("offset"))
+    cells = cells.drop("n").join(best, ["src", "src_null"])
     tie = [F.xxhash64("id", F.lit(seed + 1)), F.col("id")] + ([F.xxhash64("row")] if "row" in rows.columns else [])
     local = F.row_number().over(Window.partitionBy(*cell).orderBy(*tie)) - 1
     out = rows.withColumn("local", local).join(cells, cell).withColumn("rank", F.col("start") + F.col("local"))
-    edge = lambda k: F.floor(k * F.col("rate") + F.col("offset"))
-    copies = F.least(edge(F.col("rank") + 1) - edge(F.col("rank")), F.lit(max_repeat)).cast("long")
+    crossed = _edge(F.col("rank") + 1, F.col("offset")) - _edge(F.col("rank"), F.col("offset"))
+    copies = F.least(crossed, F.lit(max_repeat)).cast("long")
     return out.withColumn("copies", copies).drop("salt", "local", "start", "rank", "rate", "offset", "src", "src_null")
 
 
