@@ -14,8 +14,9 @@ either end of a copied passage, the first holder of each such block sends its
 windows one by one into a second round, where equal windows meet.  Both rounds
 together find exactly the windows that start in an earlier document too.
 
-Rows travel packed: one binary of arrays for each batch and bin.  A bin's share
-is bounded by the number of bins, which grows with the input.
+Blocks and windows travel packed: one binary of arrays for each batch and bin.
+Spans travel as plain rows, as many as there are.  A bin's share is bounded by
+the number of bins, which grows with the input.
 """
 
 from __future__ import annotations
@@ -188,6 +189,19 @@ BLOCK = {"lead": "<u8", "key": "<u8", "hash": "<u4", "hash2": "<u2", "doc": "<i8
 WINDOW = {"hash": "<u8", "doc": "<i8", "text_key": "<u8", "first": "<u4"}
 #: Tokens or, while asked for, windows from ``first`` on.
 SPAN = {"doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u4"}
+#: Spans as rows: ``bin`` is the home of the document, ``name`` its text_key, ``place`` first * 2**32 + count.
+SPAN_ROWS = "kind int, bin int, doc long, name long, place long"
+
+
+def span_table(kind: int, spans: dict[str, np.ndarray], bins: int) -> pa.Table:
+    place = (spans["first"].astype("i8") << 32) | spans["count"].astype("i8")
+    columns = [np.full(len(place), kind, "i4"), (spans["doc"] % bins).astype("i4"), spans["doc"], spans["text_key"].view("i8"), place]
+    return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "bin", "doc", "name", "place"])
+
+
+def spans_of(table: pa.Table) -> dict[str, np.ndarray]:
+    place = table["place"].to_numpy()
+    return {"doc": table["doc"].to_numpy(), "text_key": table["name"].to_numpy().view("u8"), "first": place >> 32, "count": place & 0xFFFFFFFF}
 
 
 def n_bins(docs: DataFrame) -> int:
@@ -299,10 +313,9 @@ def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) ->
         each = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(a)]))
         mixed = (np.minimum.reduceat(d, starts) < np.maximum.reduceat(d, starts))[each] if len(a) else np.zeros(0, bool)
         asked = {k: x[holder[mixed]] for k, x in out.items()}
-        batches = [*dealt(spans["doc"] % bins, spans, SPANS), *dealt(asked["doc"] % bins, asked, ASKED)]
-        return pa.Table.from_batches(batches, _DEALT_SCHEMA)
+        return pa.concat_tables([span_table(SPANS, spans, bins), span_table(ASKED, asked, bins)])
 
-    return blocks.groupBy("bin").applyInArrow(run, DEALT)
+    return blocks.groupBy("bin").applyInArrow(run, SPAN_ROWS)
 
 
 _DEALT_SCHEMA = pa.schema([("kind", pa.int32()), ("bin", pa.int32()), ("payload", pa.binary())])
@@ -327,7 +340,7 @@ def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, widt
     """Spans of the windows asked for that start in an earlier document too."""
 
     def show(left, right):
-        asked = unpacked(right["payload"], **SPAN)
+        asked = spans_of(right)
         rows, got = _of_rows(asked), {k: [] for k in WINDOW}
         docs_asked = {d for d, _ in rows}
         for doc, text in zip(left["doc"], left["text"]):
@@ -338,27 +351,32 @@ def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, widt
             at = rows.get((doc.as_py(), name))
             if at is None:
                 continue
-            place = stretches(asked["first"][at].astype("i8"), asked["count"][at].astype("i8"))
+            place = stretches(asked["first"][at], asked["count"][at])
             tokens = tokens_of(np.frombuffer(data, "u1"))
             hashes = np.concatenate([_window_hashes(tokens, p, width) for p in np.array_split(place, 1 + len(place) // CHUNK)])
             for k, x in zip(WINDOW, (hashes, np.full(len(place), doc.as_py(), "i8"), np.full(len(place), name, "u8"), place.astype("u4"))):
                 got[k].append(x)
         arrays = {k: np.concatenate(x) if x else np.zeros(0, WINDOW[k]) for k, x in got.items()}
-        return pa.Table.from_batches(list(dealt((arrays["hash"] % np.uint64(bins)).astype("i8"), arrays, WINDOWS)), _DEALT_SCHEMA)
+        at = (arrays["hash"] % np.uint64(max(1, bins // 4))).astype("i8")
+        return pa.Table.from_batches(list(dealt(at, arrays, WINDOWS)), _DEALT_SCHEMA)
 
     def meet(table):
         got = unpacked(table["payload"], **WINDOW)
         by = np.lexsort((got["doc"], got["hash"]))
         got = {k: x[by] for k, x in got.items()}
         again = got["doc"] > least_of(runs_of(got["hash"]), got["doc"])
-        # Windows side by side become one span.
         doc, name, first = (got[k][again] for k in ("doc", "text_key", "first"))
-        spans = {"doc": doc, "text_key": name, "first": first, "count": np.full(len(doc), width, "u4")}
-        return pa.Table.from_batches(list(dealt(doc % bins, spans, SPANS)), _DEALT_SCHEMA)
+        # Windows side by side become one span.
+        by = np.lexsort((first, name, doc))
+        doc, name, first = doc[by], name[by], first[by].astype("i8")
+        start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]) | (first[1:] - first[:-1] > width)][: len(doc)])
+        last = np.r_[start[1:], len(doc)][: len(start)] - 1
+        spans = {"doc": doc[start], "text_key": name[start], "first": first[start], "count": first[last] + width - first[start]}
+        return span_table(SPANS, spans, bins)
 
     asked = found.filter(f"kind = {ASKED}").withColumn("home", F.col("bin"))
     shown = docs.groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(show, DEALT)
-    return shown.groupBy("bin").applyInArrow(meet, DEALT)
+    return shown.groupBy("bin").applyInArrow(meet, SPAN_ROWS)
 
 
 def _window_hashes(tokens: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
@@ -383,7 +401,7 @@ def apply_spans(docs: DataFrame, spans: DataFrame, named: bool, make: Callable,
     """``make(rows)`` of each bin's rows (doc, bytes, firsts, counts): a table of results."""
 
     def run(left, right):
-        got = unpacked(right["payload"], **SPAN)
+        got = spans_of(right)
         rows = _of_rows(got)
         none = np.zeros(0, "i8")
 
@@ -394,7 +412,7 @@ def apply_spans(docs: DataFrame, spans: DataFrame, named: bool, make: Callable,
                 if at is None or not doc.is_valid:
                     yield doc.as_py(), data, none, none
                 else:
-                    yield doc.as_py(), data, got["first"][at].astype("i8"), got["count"][at].astype("i8")
+                    yield doc.as_py(), data, got["first"][at], got["count"][at]
 
         return make(each())
 
