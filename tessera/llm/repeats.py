@@ -118,11 +118,11 @@ _PLACE = np.uint64((1 << 24) - 1)
 
 
 def blocks_of(values: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchor, first window, windows and hash of each block of one token array."""
+    """Anchor, first window, windows, anchor hash, block hash, left and right neighbourhood of each block of one token array."""
     n = len(values)
     if n < width:
         none = np.zeros(0, "i8")
-        return none, none, none, none.astype("u8"), none.astype("u8")
+        return none, none, none, none.astype("u8"), none.astype("u8"), none.astype("u2"), none.astype("u2")
     hashed = Hashed(values)
     grams = hashed.every(gram)
     # The least hash, the leftmost of equal ones: a segment has fewer than 2**24 places.
@@ -130,7 +130,12 @@ def blocks_of(values: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ..
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     count = np.diff(np.r_[first, len(anchor)])
     at = anchor[first]
-    return at, first, count, grams[at], hashed.span(first, first + count - 1 + width)
+    # 16 bits of the half window on either side; 0 where the text has no such half.
+    half = (width - gram + 1) // 2
+    before, after = np.maximum(at - half, 0), np.minimum(at + gram + half, n)
+    left = np.where(at >= half, hashed.span(before, at) % np.uint64(65535) + np.uint64(1), 0).astype("u2")
+    right = np.where(at + gram + half <= n, hashed.span(at + gram, after) % np.uint64(65535) + np.uint64(1), 0).astype("u2")
+    return at, first, count, grams[at], hashed.span(first, first + count - 1 + width), left, right
 
 
 def segments(n: int, width: int) -> Iterator[tuple[int, int, int, int]]:
@@ -185,7 +190,7 @@ def dealt(bins: np.ndarray, arrays: dict[str, np.ndarray], kind: int) -> Iterato
 DEALT = "kind int, bin int, payload binary"
 SPANS, ASKED, WINDOWS = 1, 2, 3
 #: doc and text_key name a row; text_key is 0 throughout unless ids repeat.  A block's hash has 48 bits: it need only tell apart blocks of one key.
-BLOCK = {"lead": "<u8", "key": "<u8", "hash": "<u4", "hash2": "<u2", "doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u2"}
+BLOCK = {"lead": "<u8", "key": "<u8", "hash": "<u4", "hash2": "<u2", "doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u2", "left": "<u2", "right": "<u2"}
 WINDOW = {"hash": "<u8", "doc": "<i8", "text_key": "<u8", "first": "<u4"}
 #: Tokens or, while asked for, windows from ``first`` on.
 SPAN = {"doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u4"}
@@ -246,14 +251,15 @@ def scan_blocks(docs: DataFrame, tokens_of: Callable, width: int, gram: int, nam
                 tokens = tokens_of(raw)
                 name = xxhash.xxh3_64_intdigest(data) if named else 0
                 for a, b, keep, end in segments(len(tokens), width):
-                    at, first, count, key, hash_ = blocks_of(tokens[a:b], width, gram)
+                    found = blocks_of(tokens[a:b], width, gram)
                     if (a, b) != (0, len(tokens)):
-                        inside = (at + a >= keep) & (at + a < end)
-                        at, first, count, key, hash_ = (x[inside] for x in (at, first, count, key, hash_))
+                        inside = (found[0] + a >= keep) & (found[0] + a < end)
+                        found = tuple(x[inside] for x in found)
+                    at, first, count, key, hash_, left, right = found
                     if not len(at):
                         continue
                     lead, key = lead_of(raw, at + a) if lead_of else (np.zeros(len(at), "u8"), key)
-                    part = (lead, key, hash_.astype("u4"), (hash_ >> np.uint64(48)).astype("u2"), np.full(len(at), doc.as_py(), "i8"), np.full(len(at), name, "u8"), (first + a).astype("u4"), count.astype("u2"))
+                    part = (lead, key, hash_.astype("u4"), (hash_ >> np.uint64(48)).astype("u2"), np.full(len(at), doc.as_py(), "i8"), np.full(len(at), name, "u8"), (first + a).astype("u4"), count.astype("u2"), left, right)
                     for k, x in zip(BLOCK, part):
                         got[k].append(x)
                     held += len(at)
@@ -287,6 +293,17 @@ def least_of(run: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(doc, starts)[run]
 
 
+def _disputed(anchor: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Rows whose anchor and side, if it has one, another document has too."""
+    by = np.lexsort((doc, side, anchor))
+    run = runs_of(anchor[by], side[by])
+    out = np.zeros(len(by), bool)
+    if len(by):
+        starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        out[by] = ((np.minimum.reduceat(doc[by], starts) < np.maximum.reduceat(doc[by], starts))[run]) & (side[by] > 0)
+    return out
+
+
 def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) -> DataFrame:
     """Spans of the blocks that an earlier document holds, and the blocks whose windows must be asked for.
 
@@ -306,12 +323,11 @@ def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) ->
         out["count"] = out["count"].astype("u4")
         spans = {k: x[again] for k, x in out.items()}
         spans["count"] = spans["count"] + np.uint32(width - 1)
-        # An anchor in unlike blocks of unlike documents: their first holders show their windows.
+        # An anchor in unlike blocks of unlike documents that agree on one side: their first holders show their windows.
         holder = np.flatnonzero(~again)
-        a, d = anchor[holder], got["doc"][holder]
-        starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, "i8")
-        each = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(a)]))
-        mixed = (np.minimum.reduceat(d, starts) < np.maximum.reduceat(d, starts))[each] if len(a) else np.zeros(0, bool)
+        mixed = np.zeros(len(holder), bool)
+        for side in ("left", "right"):
+            mixed |= _disputed(anchor[holder], got[side][holder], got["doc"][holder])
         asked = {k: x[holder[mixed]] for k, x in out.items()}
         return pa.concat_tables([span_table(SPANS, spans, bins), span_table(ASKED, asked, bins)])
 

@@ -77,7 +77,7 @@ def sampled_splitters(docs: DataFrame, id_col: str, text_col: str, width: int, b
         for batch in batches:
             for text in batch.column("text"):
                 raw = np.frombuffer(repeats.encoded(text), "u1")[: 16 * repeats.CHUNK]
-                at, _, _, key, _ = repeats.blocks_of(repeats.byte_values(raw), width, GRAM)
+                at, _, _, key, *_ = repeats.blocks_of(repeats.byte_values(raw), width, GRAM)
                 if len(at):
                     least = at[np.argsort(key)[:SAMPLE_EACH]]
                     yield pa.record_batch([pa.array(leading(raw, least)[0].view("i8"))], names=["lead"])

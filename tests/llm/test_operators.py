@@ -211,9 +211,9 @@ def test_long_texts_are_cut_into_overlapping_segments(monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 100)
     parts = []
     for a, b, keep, end in repeats.segments(len(tokens), 50):
-        at, first, count, key, h = repeats.blocks_of(tokens[a:b], 50, 8)
+        at, first, *rest = repeats.blocks_of(tokens[a:b], 50, 8)
         inside = (at + a >= keep) & (at + a < end)
-        parts.append((at[inside] + a, first[inside] + a, count[inside], key[inside], h[inside]))
+        parts.append((at[inside] + a, first[inside] + a, *(x[inside] for x in rest)))
     for x, y in zip(whole, zip(*parts)):
         assert np.array_equal(x, np.concatenate(y))
 
