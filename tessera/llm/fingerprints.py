@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import SPACE, shuffle_partitions, with_neighbours
 
-SAMPLES = 32
+SAMPLES = 64
 #: A phrase ends after one of these: every fourth character up to U+00FF, and all from U+0250 on.
 ENDS = "".join(f"\\x{c:02x}" for c in range(0x24, 0x100, 4)) + r"[\x{250}-\x{10FFFF}]"
 CUT = rf"[\x20\x09-\x0D](?<=[{ENDS}][\x20\x09-\x0D])[\x20\x09-\x0D]*"
