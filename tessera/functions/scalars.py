@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from . import fixed
@@ -188,12 +190,34 @@ def distinct_ignoring_case(values: Column) -> Column:
     return F.filter(values, lambda v, i: F.array_position(lowered, F.lower(v)) == i + 1)
 
 
-def like(text: Column, pattern: str) -> Column:
-    """Whether a text matches a pattern, case ignored; word boundaries are those of ASCII words."""
-    edge = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
-    return F.regexp_like(text, F.lit("(?i)" + pattern.replace(r"\b", edge)))
+def literals(pattern: str) -> list[str] | None:
+    """A literal that each alternative of a pattern starts with, in lower case; None if one starts with none."""
+    flat = pattern.replace(r"\b(", "").replace(r")\b", "").replace(r"\b", "")
+    out = []
+    for part in flat.split("|"):
+        head = re.match(r"(?:[A-Za-z0-9 `&/_-]|\\\.)*", part)[0]
+        if part[len(head):][:1] in ("?", "*", "{"):
+            head = head[:-1]
+        if not head or "(" in part:
+            return None
+        out.append(head.replace("\\.", ".").lower())
+    return sorted(set(out))
+
+
+def ascii_words(text: Column) -> Column:
+    """A text in which every character beyond ASCII is one that ends a word, as it does in ASCII word boundaries."""
+    return F.regexp_replace(text, r"[^\x00-\x7F]", "\x01")
+
+
+def like(low: Column, plain: Column, pattern: str) -> Column:
+    """Whether a text matches a pattern, case ignored: ``low`` is the text in lower case, ``plain`` its :func:`ascii_words`.
+
+    The pattern runs only on texts that hold one of its literals.
+    """
+    found, some = F.regexp_like(plain, F.lit("(?i)" + pattern)), literals(pattern)
+    return found if some is None else F.when(F.exists(words_in(some), lambda x: F.contains(low, x)), found).otherwise(False)
 
 
-def matches(text: Column, rules: list[tuple]) -> Column:
+def matches(low: Column, plain: Column, rules: list[tuple]) -> Column:
     """Names (first of each rule) whose pattern (last) the text matches."""
-    return F.array_compact(F.array(*[F.when(like(text, r[-1]), F.lit(r[0])) for r in rules]))
+    return F.array_compact(F.array(*[F.when(like(low, plain, r[-1]), F.lit(r[0])) for r in rules]))

@@ -18,20 +18,22 @@ def entities(df: DataFrame, text: str) -> DataFrame:
 def enriched(df: DataFrame, text: str) -> DataFrame:
     """Adds topic tags, categories, tools, format flags and the segment, by rule."""
     t = F.coalesce(F.col(text), F.lit(""))
-    like = lambda p: scalars.like(t, p)
+    df = df.withColumns({"_low": F.lower(t), "_plain": scalars.ascii_words(t)})  # once for all patterns
+    low, plain = F.col("_low"), F.col("_plain")
+    like = lambda p: scalars.like(low, plain, p)
     df = df.withColumns({
         "has_code": like(fixed.CODE_PATTERN), "is_launch": like(fixed.LAUNCH_PATTERN), "is_benchmark": like(fixed.BENCHMARK_PATTERN),
-        "is_thread": like(r"(^|\s)(thread|🧵)($|\s|:)") | F.regexp_like(t, F.lit(r"(^|\s)\d{1,2}\s*/\s*\d{1,2}($|\s)")),
-        "tools": scalars.matches(t, fixed.TOOL_RULES),
+        "is_thread": F.regexp_like(t, F.lit(r"(?i)(^|\s)(thread|🧵)($|\s|:)")) | F.regexp_like(t, F.lit(r"(^|\s)\d{1,2}\s*/\s*\d{1,2}($|\s)")),
+        "tools": scalars.matches(low, plain, fixed.TOOL_RULES),
     })
-    tags = scalars.matches(t, fixed.TOPIC_RULES)
-    by_category = [(c, p) for _, c, p in fixed.TOPIC_RULES]
+    df = df.withColumn("rules", scalars.matches(low, plain, fixed.TOPIC_RULES))
+    category = F.create_map(*[F.lit(x) for tag, c, _ in fixed.TOPIC_RULES for x in (tag, c)])
     extra = F.array_compact(F.array(F.when(F.col("is_launch"), "launch"), F.when(F.col("is_benchmark"), "benchmark"), F.when(F.col("has_code"), "developer-tools")))
-    df = df.withColumn("topic_tags", F.array_distinct(F.concat(tags, extra)))
+    df = df.withColumn("topic_tags", F.array_distinct(F.concat("rules", extra)))
     more = F.when(F.col("has_code"), F.array(F.lit("dev-tools"))).otherwise(F.array().cast("array<string>"))
-    df = df.withColumn("categories", F.array_distinct(F.concat(scalars.matches(t, by_category), more)))
+    df = df.withColumn("categories", F.array_distinct(F.concat(F.transform("rules", lambda r: category[r]), more)))
     relevant = F.arrays_overlap("categories", scalars.words_in(fixed.RELEVANT_CATEGORIES)) | F.col("is_launch") | F.col("is_benchmark") | F.col("has_code")
-    return df.withColumn("segment", F.when(relevant, "brief-relevant").otherwise("everything-else"))
+    return df.withColumn("segment", F.when(relevant, "brief-relevant").otherwise("everything-else")).drop("_low", "_plain")
 
 
 def tools_of_hosts(df: DataFrame, host: str, table: DataFrame) -> DataFrame:
