@@ -31,23 +31,24 @@ def _keys(text: Column) -> list[Column]:
     norm = normalised(text)
     return [
         F.length(norm).alias("n"),
-        F.xxhash64(F.substring(norm, 1, PREFIX)).alias("prefix"),
+        F.xxhash64(F.length(norm), F.substring(norm, 1, PREFIX)).alias("prefix"),
         F.sha2(norm, 256).alias("full"),
     ]
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """From rows (id, n, prefix, full, copies): the groups of two rows or more, with their keeper and size."""
+    """From rows (id, n, prefix, full, copies): the groups of two rows or more, with their keeper and size.
+
+    Each level groups by one column of its own (the prefix hash holds the
+    length too), so that every grouping is combined before it is dealt out and
+    every join that follows can be split where a key is hot.
+    """
     total = F.sum("copies")
     lengths = rows.groupBy("n").agg(total.alias("c")).filter("c > 1").select("n")
     first = rows.join(lengths, "n", "left_semi")
-    heads = first.groupBy("n", "prefix").agg(total.alias("c")).filter("c > 1").select("n", "prefix")
-    second = first.join(heads, ["n", "prefix"], "left_semi")
-    return (
-        second.groupBy("n", "prefix", "full")
-        .agg(F.min("id").alias("keep_id"), total.alias("group_size"))
-        .filter("group_size > 1")
-    )
+    heads = first.groupBy("prefix").agg(total.alias("c")).filter("c > 1").select("prefix")
+    second = first.join(heads, "prefix", "left_semi")
+    return second.groupBy("full").agg(F.min("id").alias("keep_id"), total.alias("group_size")).filter("group_size > 1")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,7 +57,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # Repeats of one id and text become a count here and rows again at the end.
     rows = rows.groupBy("n", "prefix", "full", "id").agg(F.count("*").alias("copies"))
     found = groups(rows)
-    joined = rows.join(found, ["n", "prefix", "full"], "left")
+    joined = rows.join(found, "full", "left")
     out = joined.select(
         F.col("id").alias(id_col),
         F.coalesce("keep_id", "id").alias("keep_id"),
@@ -74,7 +75,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = docs.select(F.col(id_col).alias("id"), *_keys(F.col(text_col)))
     narrow = narrow.groupBy("n", "prefix", "full", "id").agg(F.count("*").alias("copies"))
     dropped = (
-        narrow.join(groups(narrow), ["n", "prefix", "full"])
+        narrow.join(groups(narrow), "full")
         .filter((F.col("copies") > 1) | ~F.col("id").eqNullSafe(F.col("keep_id")))
         .select(F.col("id").alias("drop_id"), F.col("full").alias("drop_full"),
                 F.col("id").eqNullSafe(F.col("keep_id")).alias("repeat"))
