@@ -10,7 +10,8 @@ words taken differ from the target by less than the longest document, and of
 ``TRIES`` random offsets a source takes the one whose words come nearest.
 
 Prefix sums need no task that holds a source: rows are counted by cell (source,
-size, salt), the cells summed in order, and rows numbered within their cell.
+size, salt), the cells summed in order within bands of ``BAND`` sizes and the
+bands within their source, and rows numbered within their cell.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 after all others; a source without words has target 0 and no copies; repeated
@@ -24,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Parts that the rows of one source and size are dealt into.
 SALTS = 64
+#: Sizes in one band of cells.
+BAND = 16
 #: Random offsets that a source draws from.
 TRIES = 16
 
@@ -102,8 +105,13 @@ def _mixed(rows: DataFrame, weights, max_repeat, share, seed) -> DataFrame:
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(SALTS)))
     counts = rows.groupBy(*cell).agg(F.count("*").alias("n"))
     sizes = counts.groupBy("src", "src_null").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    before = Window.partitionBy("src", "src_null").orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    band = ["src", "src_null", "band"]
+    counts = counts.withColumn("band", F.floor(F.col("size") / BAND))
+    inside = Window.partitionBy(*band).orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("src", "src_null").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = counts.groupBy(*band).agg(F.sum("n").alias("m")).select(*band, F.coalesce(F.sum("m").over(before), F.lit(0)).alias("below"))
+    starts = counts.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(bands, band)
+    starts = starts.withColumn("start", F.col("below") + F.col("within")).drop("band", "below", "within")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = targets(sizes, weights, max_repeat, share).withColumn("rate", rate)
     cells = starts.join(plan, ["src", "src_null"])
