@@ -16,12 +16,14 @@ document joins in the band of its size and, as the smaller side, in the next:
 bands are a factor of 4/3 wide, so partners always meet in the band of the
 larger one.
 
-Lanes of equal hash make candidate pairs, which are verified on the full sets.
-Copies (equal sets) count as one.  Of a lane that more than ``SMALL`` documents
-share first only the pairs with its smallest id are verified, which settles
-groups of near copies; once the components of those links are known, the pairs
-of such a lane that lie in different components are verified too.  So no link
-between components is missed, and no group of copies is expanded into pairs.
+Lanes of equal hash make candidate pairs.  A pair goes on only if the parity
+sketches of its sets, in which every shingle flips one bit, lie within the same
+bound of each other; what is left is verified on the full sets.
+Copies (equal sets) count as one.  Of a lane that several documents share first
+only the pairs with its smallest id are verified, which settles groups of near
+copies; once the components of those links are known, the pairs of such a lane
+that lie in different components are verified too.  So no link between
+components is missed, and no group of copies is expanded into pairs.
 
 Defined cases: a null or empty text, or one of white space, has no shingles and
 is its own component; with fewer than five words the sequence is one shingle;
@@ -33,21 +35,22 @@ empty table; other columns are ignored by the report and carried by
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import durable
-from .repeats import Hashed, byte_values, dealt, encoded, mix, n_bins, runs_of, unpacked, word_bounds
+from .repeats import Hashed, byte_values, dealt, encoded, mix, n_bins, pack, runs_of, stretches, unpack, unpacked, word_bounds
 
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
-#: Documents that share a lane and are paired with one another at once.
-SMALL = 8
-#: Rows of ids, 16 bytes each, that may be broadcast.
-BROADCAST_ROWS = 1 << 21
+#: One in so many documents is looked at for frequent lanes; documents of these that must share one; lanes named at most.
+LOOK, FREQUENT, NAMED = 4, 4, 1 << 20
+#: Pairs of ids, 16 bytes each, that may be broadcast.
+BROADCAST_ROWS = 1 << 20
 
 _LOWER = np.arange(256, dtype="u1")
 _LOWER[65:91] += 32
@@ -86,8 +89,13 @@ def lanes_of_band(band: int) -> int:
     return -(-118 * (most + 1) // 100) + 4
 
 
-def kept_lanes(tokens: np.ndarray, band: int, apart: int) -> np.ndarray:
-    """The hashes of the ``apart + 1`` lanes that a document joins with in a band."""
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """The 48 bits of lane hashes that travel."""
+    return hashes & np.uint64(0xFFFF0000FFFFFFFF)
+
+
+def lanes_in(tokens: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and number of shingles of each lane that a set has in a band."""
     lanes = lanes_of_band(band)
     lane = (tokens % np.uint64(lanes)).astype("i8")
     count = np.bincount(lane, minlength=lanes)
@@ -95,23 +103,72 @@ def kept_lanes(tokens: np.ndarray, band: int, apart: int) -> np.ndarray:
     sketch = np.zeros(lanes, "u8")
     full = np.flatnonzero(count)
     sketch[full] = np.bitwise_xor.reduceat(mix(tokens[order]), np.r_[0, np.cumsum(count[full])[:-1]])
-    hashes = mix(sketch ^ mix(np.arange(lanes, dtype="u8") + np.uint64(lanes << 32)))
-    rank = np.lexsort((hashes, np.minimum(count, 3)))
-    return hashes[rank[lanes - min(lanes, apart + 1) :]]
+    return _short(mix(sketch ^ mix(np.arange(lanes, dtype="u8") + np.uint64(lanes << 32)))), count
+
+
+def kept_lanes(tokens: np.ndarray, band: int, apart: int, frequent: np.ndarray) -> np.ndarray:
+    """The hashes of the ``apart + 1`` lanes that a document joins with in a band; ``frequent`` is sorted."""
+    hashes, count = lanes_in(tokens, band)
+    rare = count > 0
+    if len(frequent):
+        rare &= frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] != hashes
+    rank = np.lexsort((hashes, np.minimum(count, 3), rare))
+    return hashes[rank[len(hashes) - min(len(hashes), apart + 1) :]]
+
+
+_NONE = np.zeros(0, "u8")
+
+
+def joins_of(n: int) -> list[tuple[int, int]]:
+    """(band, most shingles apart) that a set of ``n`` joins in; none where only equal sets can link."""
+    if not n:
+        return []
+    band, largest, out = band_of(n), 4 * n // 3, []
+    apart = (n + min(largest, band_start(band + 1) - 1)) // 7
+    if apart:
+        out.append((band, apart))
+    if largest >= band_start(band + 1):
+        out.append((band + 1, (n + largest) // 7))
+    return out
+
+
+def signatures(tokens: np.ndarray, frequent: np.ndarray = _NONE) -> np.ndarray:
+    """All lane hashes that a set joins with."""
+    out = [kept_lanes(tokens, band, apart, frequent) for band, apart in joins_of(len(tokens))]
+    return np.concatenate(out) if out else _NONE
+
+
+def all_lanes(tokens: np.ndarray) -> np.ndarray:
+    """The hashes of all lanes that hold a shingle."""
+    out = [h[c > 0] for h, c in (lanes_in(tokens, band) for band, _ in joins_of(len(tokens)))]
+    return np.concatenate(out) if out else _NONE
+
+
+def parity_sketch(tokens: np.ndarray) -> bytes:
+    """A power of two of bits, two for each shingle or more, in which each shingle has flipped one."""
+    bits = 512
+    while bits < 2 * len(tokens):
+        bits *= 2
+    return np.packbits(np.bincount((tokens & np.uint64(bits - 1)).astype("i8"), minlength=bits) & 1 == 1).tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Unequal bits of two parity sketches, the longer one folded: never more than the symmetric difference."""
+    x, y = np.frombuffer(a, "u1"), np.frombuffer(b, "u1")
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def packed_set(tokens: np.ndarray) -> bytes:
+    """A set as the gaps between 40 bits of each hash, half as long as the hashes."""
+    short = np.unique(tokens >> np.uint64(24))
+    return pack(gap=np.diff(short, prepend=np.uint64(0)))
 
 
-def signatures(tokens: np.ndarray) -> np.ndarray:
-    """All lane hashes that a set joins with; none where only equal sets can link."""
-    n, band = len(tokens), band_of(max(1, len(tokens)))
-    out = []
-    if n:
-        largest = 4 * n // 3
-        apart = (n + min(largest, band_start(band + 1) - 1)) // 7
-        if apart:
-            out.append(kept_lanes(tokens, band, apart))
-        if largest >= band_start(band + 1):
-            out.append(kept_lanes(tokens, band + 1, (n + largest) // 7))
-    return np.concatenate(out) if out else np.zeros(0, "u8")
+def unpacked_set(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, gap="<u8")["gap"])
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -128,19 +185,20 @@ def _set_key(tokens: np.ndarray) -> int:
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """(doc, n, key): size and key of every document's set."""
+    """(doc, n, key, sketch): size, key and parity sketch of every document's set."""
 
     def run(batches):
         for batch in batches:
             sets = [shingles(encoded(t)) for t in batch.column("text")]
             n = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.record_batch([batch.column("doc"), n, pa.array([_set_key(s) for s in sets], pa.int64())], names=["doc", "n", "key"])
+            key, sketch = pa.array([_set_key(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], pa.binary())
+            yield pa.record_batch([batch.column("doc"), n, key, sketch], names=["doc", "n", "key", "sketch"])
 
-    return docs.mapInArrow(run, "doc long, n long, key long")
+    return docs.mapInArrow(run, "doc long, n long, key long, sketch binary")
 
 
-def _lanes(docs: DataFrame, bins: int) -> DataFrame:
-    """The lanes of all documents, packed and dealt out by hash."""
+def _lanes(docs: DataFrame, bins: int, lanes_of: Callable) -> DataFrame:
+    """The lanes that ``lanes_of`` names for the sets of all documents, packed and dealt out by hash."""
 
     def flush(got, ids):
         if got:
@@ -155,7 +213,7 @@ def _lanes(docs: DataFrame, bins: int) -> DataFrame:
             for doc, text in zip(batch.column("doc"), batch.column("text")):
                 if not doc.is_valid:
                     continue
-                got.append(signatures(shingles(encoded(text))))
+                got.append(lanes_of(shingles(encoded(text))))
                 ids.append(doc.as_py())
                 held += len(got[-1])
                 if held > 1 << 21:
@@ -166,8 +224,26 @@ def _lanes(docs: DataFrame, bins: int) -> DataFrame:
     return docs.mapInArrow(run, _DEALT)
 
 
+def _frequent(docs: DataFrame, bins: int) -> np.ndarray:
+    """The lanes that ``FREQUENT`` or more of the documents looked at share, the ``NAMED`` most frequent at most."""
+    some = docs.filter(F.pmod(F.xxhash64("doc", F.lit(11)), F.lit(LOOK)) == 0)
+
+    def run(table):
+        got = unpacked(table["payload"], **LANE)
+        hashes, count = np.unique(got["hash"].astype("u8") | (got["hash2"].astype("u8") << np.uint64(48)), return_counts=True)
+        often = count >= FREQUENT
+        return pa.table([pa.array(hashes[often].view("i8")), pa.array(count[often].astype("i8"))], names=["lane", "n"])
+
+    found = _lanes(some, bins, all_lanes).groupBy("bin").applyInArrow(run, "lane long, n long")
+    top = found.orderBy(F.desc("n"), "lane").limit(NAMED).select("lane").toPandas()["lane"].to_numpy("i8")
+    return np.sort(top.view("u8"))
+
+
 def _candidates(lanes: DataFrame) -> DataFrame:
-    """(kind, a, b): candidate pairs a < b (kind 0), and the members b of the lanes a that more than SMALL share (kind 1)."""
+    """(kind, a, b): pairs of a lane's least id a with another b (kind 0), and the members b of groups a of three or more (kind 1).
+
+    Lanes with the same members are one group.
+    """
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(table):
@@ -175,54 +251,78 @@ def _candidates(lanes: DataFrame) -> DataFrame:
         hashes = got["hash"].astype("u8") | (got["hash2"].astype("u8") << np.uint64(48))
         order = np.lexsort((got["doc"], hashes))
         hashes, doc = hashes[order], got["doc"][order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+        hashes, doc = hashes[new], doc[new]
         lane = runs_of(hashes)
-        new = np.r_[True, (lane[1:] != lane[:-1]) | (doc[1:] != doc[:-1])][: len(lane)]
-        hashes, lane, doc = hashes[new], lane[new], doc[new]
-        size = np.bincount(lane) if len(lane) else lane
-        lane, doc, hashes = (x[size[lane] > 1] for x in (lane, doc, hashes)) if len(lane) else (lane, doc, hashes)
-        big = size[lane] > SMALL if len(lane) else np.zeros(0, bool)
-        pairs = []
-        for step in range(1, SMALL):  # of the small lanes every member with each that follows
-            left, right = np.flatnonzero(~big)[:-step], np.flatnonzero(~big)[step:]
-            same = lane[left] == lane[right]
-            pairs.append(np.stack([doc[left[same]], doc[right[same]]]))
-        first = np.flatnonzero(np.r_[True, lane[1:] != lane[:-1]][: len(lane)])
-        head = np.repeat(doc[first], np.diff(np.r_[first, len(lane)])) if len(lane) else doc
-        other = big & (head < doc)
-        pairs.append(np.stack([head[other], doc[other]]))
-        found = np.unique(np.concatenate(pairs, axis=1), axis=1) if len(lane) else np.zeros((2, 0), "i8")
-        a, b = np.r_[found[0], hashes[big].view("i8")], np.r_[found[1], doc[big]]
-        kind = np.r_[np.zeros(found.shape[1], "i4"), np.ones(int(big.sum()), "i4")]
-        return pa.table([pa.array(kind.astype("i4")), pa.array(a.astype("i8")), pa.array(b.astype("i8"))], schema=schema)
+        shared = np.bincount(lane)[lane] > 1 if len(lane) else new
+        lane, doc = lane[shared], doc[shared]
+        if not len(lane):
+            return schema.empty_table()
+        first = np.flatnonzero(np.r_[True, lane[1:] != lane[:-1]])
+        size = np.diff(np.r_[first, len(lane)])
+        # One lane stands for all that have its members.
+        _, keep = np.unique(np.add.reduceat(mix(doc.view("u8")), first) ^ mix(size.astype("u8")), return_index=True)
+        members = stretches(first[keep], size[keep])
+        head, doc = np.repeat(doc[first[keep]], size[keep]), doc[members]
+        group = np.repeat((np.add.reduceat(mix(doc.view("u8")), np.r_[0, np.cumsum(size[keep])[:-1]])).view("i8"), size[keep])
+        pairs = np.unique(np.stack([head[head < doc], doc[head < doc]]), axis=1)
+        big = np.repeat(size[keep] > 2, size[keep])
+        a, b = np.r_[pairs[0], group[big]], np.r_[pairs[1], doc[big]]
+        kind = np.r_[np.zeros(pairs.shape[1], "i4"), np.ones(int(big.sum()), "i4")]
+        return pa.table([pa.array(kind), pa.array(a), pa.array(b)], schema=schema)
 
     return lanes.groupBy("bin").applyInArrow(run, "kind int, a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, by the full sets of both."""
-    pairs = durable(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    # Few ids go to where the texts are; more than that meet them in a shuffle.
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parity sketches are no further apart than a link allows."""
+    side = lambda c: sets.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(encoded(t)).tobytes() for t in batch.column("text")]
-            yield pa.record_batch([batch.column("doc"), pa.array(sets, pa.binary())], names=["doc", "tokens"])
+            most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) // 7
+            apart = [sketch_distance(x.as_py(), y.as_py()) for x, y in zip(batch.column("sa"), batch.column("sb"))]
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(apart, "i8") <= most))
+
+    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    return met.mapInArrow(run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, sets_: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) that link, by the full sets of both.
+
+    The set of b goes to a.  Few pairs go to where the texts are; more than
+    that meet the texts in a shuffle.
+    """
+    pairs = durable(_near(pairs, sets_), "pairs")
+    near = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda x: x)
+
+    def run(batches):
+        for batch in batches:
+            sets = [packed_set(shingles(encoded(t))) for t in batch.column("text")]
+            for k in range(len(sets)):  # one row for each a
+                to = batch.column("to")[k].as_py()
+                ids = pa.array([batch.column("doc")[k].as_py()] * len(to), pa.int64())
+                yield pa.record_batch([pa.array(to, pa.int64()), ids, pa.array([sets[k]] * len(to), pa.binary())], names=["a", "b", "tokens"])
+
+    def sets(need: DataFrame) -> DataFrame:
+        return docs.join(near(need), "doc").select("doc", "text", "to").mapInArrow(run, "a long, b long, tokens binary")
 
-    sets = durable(docs.join(ids, "doc").mapInArrow(run, "doc long, tokens binary"), "sets")
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("right"))
+    heads = sets(pairs.select(F.col("a").alias("doc")).distinct().withColumn("to", F.array("doc")))
+    heads = heads.select("a", F.col("tokens").alias("left"))
+    others = sets(pairs.groupBy(F.col("b").alias("doc")).agg(F.collect_set("a").alias("to")))  # a lane of b's each
 
     def check(batches):
         for batch in batches:
             keep = [
-                linked(np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8"), threshold)
+                linked(unpacked_set(x.as_py()), unpacked_set(y.as_py()), threshold)
                 for x, y in zip(batch.column("left"), batch.column("right"))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(check, "a long, b long").distinct()
+    met = others.withColumnRenamed("tokens", "right").join(heads, "a").select("a", "b", "left", "right")
+    return met.mapInArrow(check, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -257,8 +357,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = durable(_scan(rows), "sets")
     reps = sets.filter("n > 0").groupBy("n", "key").agg(F.min("doc").alias("rep"))
     member = durable(sets.join(reps, ["n", "key"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "member")
-    found = durable(_candidates(_lanes(rows, bins)), "candidates")
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows, bins))  # NAMED longs at most
+    found = durable(_candidates(_lanes(rows, bins, lambda tokens: signatures(tokens, frequent.value))), "candidates")
 
+    full = sets.filter("n > 0").select("doc", "n", "sketch")
     of = member.filter("doc is not null and n > 0").distinct()
 
     def of_reps(pairs: DataFrame) -> DataFrame:
@@ -272,20 +374,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         )
 
     tried = durable(of_reps(found.filter("kind = 0")), "tried")
-    links = _verified(tried, rows, threshold)
+    links = _verified(tried, rows, full, threshold)
     # Rows that share an id are one node: the representatives of their texts are linked.
     lead = of.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("doc", "a")
     links = durable(links.unionByName(of.join(lead, "doc").filter("rep != a").select("a", F.col("rep").alias("b"))), "links")
     roots = components(links)
-    # Lanes of many documents: their pairs across components.
-    crowd = found.filter("kind = 1").select(F.col("a").alias("lane"), F.col("b").alias("doc")).distinct()
+    # Lanes of several documents: their pairs across components.
+    crowd = found.filter("kind = 1").select(F.col("a").alias("lane"), F.col("b").alias("doc"))
     crowd = crowd.join(of, "doc").select("lane", F.col("rep").alias("node")).distinct().join(roots, "node", "left")
     crowd = crowd.withColumn("root", F.coalesce("root", "node"))
-    mixed = crowd.groupBy("lane").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("lane")
-    mixed = durable(crowd.join(mixed, "lane", "left_semi"), "mixed")
-    other = mixed.select("lane", F.col("node").alias("b"), F.col("root").alias("other"))
-    across = mixed.join(other, "lane").filter("node < b and root != other").select(F.col("node").alias("a"), "b").distinct()
-    more = durable(_verified(of_reps(across).join(tried, ["a", "b"], "left_anti"), rows, threshold), "links")
+    sizes = crowd.groupBy("lane", "root").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("lane").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
+    mixed = durable(crowd.join(main.filter("roots > 1").select("lane", "main"), "lane"), "mixed")
+    # Only members outside a lane's largest component look for partners: the pairs inside it are never formed.
+    minor = mixed.filter("root != main").select("lane", F.col("node").alias("x"), F.col("root").alias("own"))
+    met = minor.join(mixed, "lane").filter("own != root")
+    across = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    more = durable(_verified(of_reps(across).join(tried, ["a", "b"], "left_anti"), rows, full, threshold), "links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     out = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
