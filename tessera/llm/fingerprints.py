@@ -1,16 +1,17 @@
 """Document fingerprints by consistent weighted sampling (DataFrame operations only).
 
-A document is a bag of phrases.  A phrase ends at white space after a character
-of a fixed class, about a quarter of all word ends: the text itself sets the
-cuts, so an edit changes the phrases beside it and no others.  A phrase weighs
-its characters times its occurrences.  For each of ``samples`` sample numbers
-every phrase draws, from a hash of itself and the number, ``r, c ~ Gamma(2, 1)``
-and ``b ~ U(0, 1)``; with ``t = floor(ln w / r + b)`` its score is ``ln c - r (t
-- b + 1)``, and the phrase of least score is the sample, together with its ``t``.  Two documents agree on a sample with
-probability equal to the generalised Jaccard similarity of their bags, the sum
-of the lesser weights over the sum of the greater ones.
-
-A sample is kept as 32 hash bits of (phrase, t).  A score is held in the upper 31
+A document is a bag of words, a word being what stands between white space,
+weighed by its occurrences.  For each of ``samples`` sample numbers every word
+draws, from a hash of itself and the number, ``r, c ~ Gamma(2, 1)`` and ``b ~
+U(0, 1)``; with ``t = floor(ln w / r + b)`` its score is ``ln c - r (t - b + 1)``,
+and the word of least score is the sample, together with its ``t``.  Two documents
+agree on a sample with probability equal to the generalised Jaccard similarity of
+their bags, the sum of the lesser weights over the sum of the greater ones.
+
+The draws do not depend on the weight: versions of a text are sampled together,
+and a word in several of them draws once.
+
+A sample is kept as 32 hash bits of (word, t).  A score is held in the upper 31
 bits of a long and the sample in the lower 32, so that one ``min`` of longs for
 each sample finds both, inside generated code, with partial aggregation.
 
@@ -26,15 +27,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import SPACE, shuffle_partitions, with_neighbours
 
 SAMPLES = 64
-#: A phrase ends after one of these: every fourth character up to U+00FF, and all from U+0250 on.
-ENDS = "".join(f"\\x{c:02x}" for c in range(0x24, 0x100, 4)) + r"[\x{250}-\x{10FFFF}]"
-CUT = rf"[\x20\x09-\x0D](?<=[{ENDS}][\x20\x09-\x0D])[\x20\x09-\x0D]*"
 #: Samples computed in one generated row: keeps the generated methods small enough to be compiled.
-BLOCK = 4
+BLOCK = 2
 
 
-def _block(rows: DataFrame) -> DataFrame:
-    """Adds s0, s1, ...: for the samples of the row's block (a hash) their packed score and sample of (term, lnw)."""
+def _block(rows: DataFrame, versions: int) -> DataFrame:
+    """Adds s0_0, s0_1, ...: for the samples of the row's block (a hash) their packed score and sample of (term, lnw0), then s1_0, ... of (term, lnw1); null where lnw is."""
     # Uniform numbers between 0 and 1 from 21 and from 32 bits of a hash.
     low = lambda h, at: f"(((shiftrightunsigned({h}, {at}) & 2097151L) + 0.5D) * {2.0**-21!r}D)"
     half = lambda h, at: f"(((shiftrightunsigned({h}, {at}) & 4294967295L) + 0.5D) * {2.0**-32!r}D)"
@@ -45,41 +43,51 @@ def _block(rows: DataFrame) -> DataFrame:
         draws[f"r{k}"] = F.expr(f"-ln({low(f'h{k}', 0)} * {low(f'h{k}', 21)})")
         draws[f"c{k}"] = F.expr(f"ln(-ln({half(f'g{k}', 0)} * {half(f'g{k}', 32)}))")
         draws[f"b{k}"] = F.expr(low(f"h{k}", 42))
-        steps[f"t{k}"] = F.expr(f"floor(lnw / r{k} + b{k})")
-        # Scores lie well inside -512..512; 2**21 steps to one.
-        packed[f"s{k}"] = F.expr(
-            f"shiftleft(cast((greatest(least(c{k} - r{k} * (t{k} - b{k} + 1D), 511D), -511D) + 512D) * 2097152D as bigint), 32)"
-            f" | ((term ^ shiftleft(t{k}, 20) ^ t{k}) & 4294967295L)"
-        )
+        for v in range(versions):
+            t = f"t{v}_{k}"
+            steps[t] = F.expr(f"floor(lnw{v} / r{k} + b{k})")
+            # Scores lie well inside -512..512; 2**21 steps to one.
+            packed[f"s{v}_{k}"] = F.expr(
+                f"if(lnw{v} is null, null, shiftleft(cast((greatest(least(c{k} - r{k} * ({t} - b{k} + 1D), 511D), -511D) + 512D) * 2097152D as bigint), 32)"
+                f" | ((term ^ shiftleft({t}, 20) ^ {t}) & 4294967295L))"
+            )
     stage = rows
     for columns in (hashes, draws, steps, packed):
         stage = stage.withColumns(columns)
-    return stage.select(*[c for c in rows.columns if c not in ("term", "weight", "lnw")], *packed)
+    return stage.select(*[c for c in rows.columns if c != "term" and not c.startswith("lnw")], *packed)
 
 
 def fingerprints(bags: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(keys, fp): for rows (keys, phrases) the array of samples, as longs below 2**32; phrases is an array of strings.
+    """(keys, fp): for rows (keys, phrases) the array of samples, as longs below 2**32; phrases is an array of strings, the terms.
 
     ``bags`` should be dealt out by a subset of ``keys``; the aggregations then
     run where the rows are.
     """
+    return version_fingerprints(bags.withColumn("phrases", F.array("phrases")), keys, 1, samples).withColumnRenamed("fp0", "fp")
+
+
+def version_fingerprints(bags: DataFrame, keys: list[str], versions: int, samples: int = SAMPLES) -> DataFrame:
+    """(keys, fp0, fp1, ...): as :func:`fingerprints`, for rows (keys, phrases) whose phrases hold an array of strings for each version; a null one has no fingerprint."""
     blocks = samples // BLOCK
+    bag = bags.select(*keys, F.posexplode("phrases").alias("version", "bag"))
     # The empty bag holds the empty phrase, which no other has.
-    some = F.when(F.size("phrases") > 0, F.col("phrases")).otherwise(F.array(F.lit("")))
-    terms = bags.select(*keys, F.explode(some).alias("phrase"))
-    terms = terms.select(*keys, F.xxhash64("phrase").alias("term"), F.length("phrase").alias("n"))
-    terms = terms.groupBy(*keys, "term").agg(F.sum("n").alias("weight"))
-    rows = terms.withColumn("lnw", F.ln(F.greatest("weight", F.lit(1)).cast("double"))).withColumn(
-        "block", F.explode(F.array(*[F.xxhash64(F.lit(b)) for b in range(blocks)]))
-    )
-    least = _block(rows).groupBy(*keys, "block").agg(*[F.min(f"s{k}").alias(f"s{k}") for k in range(BLOCK)])
-    lows = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(BLOCK)])
-    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", lows.alias("lows")))).alias("parts"))
-    return gathered.select(*keys, F.flatten(F.col("parts.lows")).alias("fp"))
+    some = F.when(F.size("bag") > 0, F.col("bag")).when(F.col("bag").isNotNull(), F.array(F.lit("")))
+    terms = bag.select(*keys, "version", F.explode(some).alias("phrase"))
+    terms = terms.select(*keys, "version", F.xxhash64("phrase").alias("term"))
+    terms = terms.groupBy(*keys, "term").agg(*[F.count_if(F.col("version") == v).alias(f"w{v}") for v in range(versions)])
+    # A word that a version lacks has the null logarithm there.
+    logs = [F.when(F.col(f"w{v}") > 0, F.ln(F.col(f"w{v}").cast("double"))).alias(f"lnw{v}") for v in range(versions)]
+    rows = terms.select(*keys, "term", *logs).withColumn("block", F.explode(F.array(*[F.xxhash64(F.lit(b)) for b in range(blocks)])))
+    scores = [f"s{v}_{k}" for v in range(versions) for k in range(BLOCK)]
+    least = _block(rows, versions).groupBy(*keys, "block").agg(*[F.min(s).alias(s) for s in scores])
+    lows = [F.array(*[F.col(f"s{v}_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(BLOCK)]).alias(f"lows{v}") for v in range(versions)]
+    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", *lows))).alias("parts"))
+    fps = [F.flatten(F.col(f"parts.lows{v}")) for v in range(versions)]
+    return gathered.select(*keys, *[F.when(F.element_at(fp, 1).isNotNull(), fp).alias(f"fp{v}") for v, fp in enumerate(fps)])
 
 
-def phrases_of(text: Column) -> Column:
-    return F.array_remove(F.split(text, CUT), "")
+def words_of(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def as_text(fp: Column) -> Column:
@@ -116,13 +124,9 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - F.col("half")), F.substr("after", F.lit(1), F.col("half")))
     near = near.withColumn("after", after).withColumn("half", half).withColumn("edited", edited)
     # A copy from another range needs its fingerprint, but no edited text.
-    both = F.array(
-        F.struct(F.lit(0).alias("edit"), "text"),
-        F.struct(F.lit(1).alias("edit"), F.when(F.col("_side") == 0, F.col("edited")).otherwise("").alias("text")),
-    )
-    bags = near.select(*key, F.explode(both).alias("v")).select(*key, "v.edit", phrases_of(F.col("v.text")).alias("phrases"))
-    fp = fingerprints(bags, [*key, "edit"], samples)
-    pair = fp.groupBy(*key).agg(F.max(F.when(F.col("edit") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("edit") == 1, F.col("fp"))).alias("edited_fp"))
+    both = F.array(words_of(F.col("text")), words_of(F.when(F.col("_side") == 0, F.col("edited"))))
+    pair = version_fingerprints(near.select(*key, both.alias("phrases")), key, 2, samples)
+    pair = pair.withColumnsRenamed({"fp0": "fp", "fp1": "edited_fp"})
     pair = pair.withColumn("next_fp", F.lag("fp").over(place))
     given = F.when(F.col("ord") != -(1 << 63), F.col("ord")).cast(docs.schema[id_col].dataType)
     facts = near.filter("_side = 0").select(*key, given.alias("id"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))

@@ -319,6 +319,24 @@ def test_fingerprints(spark, docs, rows, empty):
     assert fingerprints.edit_likeness(empty).count() == 0
 
 
+def test_fingerprints_follow_the_words_of_any_language(spark):
+    rng = np.random.default_rng(12)
+    endings = {"en": ["", "s", "d"], "es": ["o", "a", "é", "ñ"], "zh": ["好", "国"], "loud": ["!!"], "dots": ["."]}
+    rows = []
+    for n, (lang, ends) in enumerate(endings.items()):
+        for i in range(30):
+            text = " ".join(w + ends[j % len(ends)] for j, w in enumerate(words(rng, 120).split()))
+            rows.append((100 * n + i, text, lang, "s0", len(text)))
+    text, lang = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}
+    order, off = sorted(text, reverse=True), defaultdict(list)
+    for r in fingerprints.edit_likeness(spark.createDataFrame(rows, SCHEMA)).collect():
+        t, after = text[r.doc_id], text[order[(order.index(r.doc_id) + 1) % len(order)]]
+        x, y = Counter(WORD.findall(t)), Counter(WORD.findall(t[: len(t) - len(t) // 2] + after[: len(t) // 2]))
+        off[lang[r.doc_id]].append(r.near_edited - sum((x & y).values()) / sum((x | y).values()))
+    for ds in off.values():
+        assert len(ds) == 30 and abs(np.mean(ds)) < 0.05 and max(map(abs, ds)) < 0.3
+
+
 def test_sampling_estimates_generalised_jaccard(spark):
     rng = np.random.default_rng(4)
     vocabulary = ["".join(rng.choice(list("abcdefgh"), 5)) + "d" for _ in range(60)]
