@@ -1,9 +1,11 @@
-"""Column functions: text, URLs, dates, hashes and numbers, all inside the JVM."""
+"""Column functions: text, URLs, dates, hashes and numbers, all inside the JVM but ``minhash_batch``."""
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from . import fixed
@@ -115,6 +117,33 @@ def minhash(tokens: str, size: int = 128) -> Column:
     return F.expr(f"transform(sequence(0, {size - 1}), s -> array_min(transform({tokens}, t -> {fnv1a32("concat(s, ':', t)")})))")
 
 
+def minhash_batch(size: int = 128):
+    """A function of a column of tokens ([a-z0-9]+) that equals :func:`minhash`, for whole texts: hashing is sequential, and each word of some rows is hashed once."""
+    def run(tokens: pd.Series) -> pd.Series:
+        start = []
+        for seed in range(size):
+            h = 2166136261
+            for c in f"{seed}:":
+                h = ((h ^ ord(c)) * 16777619) & 0xFFFFFFFF
+            start.append(h)
+        start, prime, out = np.array(start, np.uint32), np.uint32(16777619), []
+        for at in range(0, len(tokens), 256):
+            part = tokens.iloc[at : at + 256].tolist()
+            words = sorted({w for row in part if row is not None for w in row}, key=len, reverse=True)
+            place, left = {w: i for i, w in enumerate(words)}, len(words)
+            h = np.repeat(start[None, :], len(words), 0)
+            for i in range(len(words[0]) if words else 0):
+                while len(words[left - 1]) <= i:
+                    left -= 1
+                h[:left] = (h[:left] ^ np.array([ord(w[i]) for w in words[:left]], np.uint32)[:, None]) * prime
+            for row in part:
+                some = row is not None and len(row) > 0
+                out.append(h[[place[w] for w in row]].min(axis=0).astype(np.int64) if some else None)
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(run, "array<bigint>")
+
+
 def minhash_text(signature: Column) -> Column:
     """A signature in base 36, seven digits a slot, joined by points."""
     return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.conv(x.cast("string"), 10, 36), 7, "0"))), ".")

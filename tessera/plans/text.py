@@ -158,6 +158,13 @@ def minhash_signatures(t):
     return rows.select("doc_id", F.array_join(F.transform("signature", lambda x: x.cast("string")), ".").alias("signature"))
 
 
+@query()
+def minhash_signatures_whole(t):
+    """The signatures of all documents over their whole texts; the SQL above has some ids' beginnings only."""
+    rows = dedup.signatures(t("documents").select("doc_id", "text"), "text", 8).filter("signature is not null")
+    return rows.select("doc_id", F.array_join(F.transform("signature", lambda x: x.cast("string")), ".").alias("signature"))
+
+
 @query()
 def minhash_pairs(t):
     titles = t("documents").select("doc_id", F.substring("text", 1, 60).alias("title"))

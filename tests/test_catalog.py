@@ -1,6 +1,9 @@
 """Every catalog query against its SQL on the small tables, and operators on fixtures of known outcome."""
 
 import os
+import random
+import re
+from itertools import combinations
 
 import duckdb
 import pytest
@@ -203,3 +206,44 @@ def test_theme_examples_are_exclusive(spark):
     df = spark.createDataFrame([(1, 9.0, ["a", "b"]), (2, 5.0, ["b"]), (3, 1.0, ["a"])], "id int, s double, th array<string>")
     got = {r.theme: (r.n, r.salience, r.examples) for r in aggregates.theme_histogram(df, "th", "s", "id").collect()}
     assert got == {"a": (2, 10.0, [1, 3]), "b": (2, 14.0, [2])}
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_signature(text, size):
+    """The least FNV-1a hashes of a text's ASCII tokens, or None."""
+    words, out = set(re.findall("[a-z0-9]+", text.lower())), []
+    for seed in range(size):
+        out.append([])
+        for w in words:
+            h = 2166136261
+            for c in f"{seed}:{w}":
+                h = ((h ^ ord(c)) * 16777619) & 0xFFFFFFFF
+            out[-1].append(h)
+    return [min(hs) for hs in out] if words else None
+
+
+def drawn(rng, n):
+    return ["".join(rng.choices("bcdfgklmz", k=rng.randint(3, 6))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    """A folder of small tables whose ids pass every id filter there was, and texts alike only far from their start."""
+    rng, rows = random.Random(5), []
+    for family in range(8):
+        base = drawn(rng, 80)
+        for k in range(6):
+            words = drawn(rng, 14) + [w if rng.random() > 0.02 * k else "".join(drawn(rng, 1)) for w in base]
+            rows.append((300 + 100 * family + k, " ".join(words), "en" if k % 2 else "de", f"s{k}", 0))
+    rows += [(5, "!!", "en", "s0", 2), (6, None, "en", "s0", 0), (2000, "Big Launch", "en", "s0", 10)]
+    path = str(tmp_path_factory.mktemp("whole"))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    return path, {r[0]: r[1] or "" for r in rows}, rows
+
+
+def test_signatures_of_whole_table(spark, whole):
+    got = {r.doc_id: r.signature for r in catalog.queries()["minhash_signatures_whole"](spark, whole[0]).collect()}
+    want = {i: plain_signature(t, 8) for i, t in whole[1].items()}
+    assert got == {i: ".".join(map(str, s)) for i, s in want.items() if s}
