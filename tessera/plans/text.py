@@ -167,8 +167,8 @@ def minhash_signatures_whole(t):
 
 @query()
 def minhash_pairs(t):
-    titles = t("documents").select("doc_id", F.substring("text", 1, 60).alias("title"))
-    return dedup.similar_pairs(dedup.signatures(titles, "title"), "doc_id")
+    """Documents whose whole texts are alike, every pair of them."""
+    return dedup.similar_pairs(dedup.signatures(t("documents").select("doc_id", "text"), "text"), "doc_id")
 
 
 @query()

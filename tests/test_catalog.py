@@ -247,3 +247,19 @@ def test_signatures_of_whole_table(spark, whole):
     got = {r.doc_id: r.signature for r in catalog.queries()["minhash_signatures_whole"](spark, whole[0]).collect()}
     want = {i: plain_signature(t, 8) for i, t in whole[1].items()}
     assert got == {i: ".".join(map(str, s)) for i, s in want.items() if s}
+
+
+def test_pairs_of_whole_texts(spark, whole):
+    got = {(r.a, r.b): r.similarity for r in catalog.queries()["minhash_pairs"](spark, whole[0]).collect()}
+    signatures = {i: s for i, t in whole[1].items() if (s := plain_signature(t, 128))}
+    want = {(a, b): sum(x == y for x, y in zip(signatures[a], signatures[b])) / 128 for a, b in combinations(sorted(signatures), 2)}
+    want = {k: v for k, v in want.items() if v >= 0.7}
+    assert got == want and 8 < len(want) < 8 * 15 and min(want.values()) < 0.75
+
+
+def test_pairs_that_spoil_every_band(spark):
+    a = list(range(128))
+    b = [x + 1000 if x % 4 == 0 or x in (1, 9, 17, 25, 33, 41) else x for x in a]
+    c = [x + 2000 if x % 4 == 0 or x in (1, 9, 17, 25, 33, 41, 49) else x for x in a]
+    df = spark.createDataFrame([(1, a), (2, b), (3, c)], "id long, signature array<long>")
+    assert {(r.a, r.b, r.similarity) for r in dedup.similar_pairs(df, "id").collect()} == {(1, 2, 90 / 128)}
