@@ -203,6 +203,19 @@ def event_groups(t):
     return dedup.event_groups(docs, "doc_id", "head")
 
 
+@query()
+def event_bigrams_whole(t):
+    """The bigrams of whole texts; the SQL above has their first 200 characters only."""
+    rows = t("documents").select("doc_id", F.explode(scalars.distinctive_bigrams(F.col("text"))).alias("g"))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if("g.strong").alias("strong"))
+
+
+@query()
+def event_groups_whole(t):
+    """Events by the bigrams of whole texts."""
+    return dedup.event_groups(t("documents"), "doc_id", "text")
+
+
 @query("""WITH k AS (SELECT doc_id, n_chars, substr(text, 1, 25) AS k, 'u' || doc_id AS url FROM documents)
     SELECT doc_id, row_number() OVER w AS rank, CASE WHEN row_number() OVER w > 1 THEN first_value(url) OVER w END AS lost_to
     FROM k WINDOW w AS (PARTITION BY k ORDER BY n_chars DESC, doc_id)""")

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import scalars
+from tessera.functions import fixed, scalars
 from tessera.operators import aggregates, dedup, evaluate, graph, planning, profile, scoring, search, windows
 from tessera.plans import catalog
 from tessera.sources import readers, sinks
@@ -263,3 +263,35 @@ def test_pairs_that_spoil_every_band(spark):
     c = [x + 2000 if x % 4 == 0 or x in (1, 9, 17, 25, 33, 41, 49) else x for x in a]
     df = spark.createDataFrame([(1, a), (2, b), (3, c)], "id long, signature array<long>")
     assert {(r.a, r.b, r.similarity) for r in dedup.similar_pairs(df, "id").collect()} == {(1, 2, 90 / 128)}
+
+
+def plain_bigrams(text):
+    """{(a, b): strong} of a text without URLs and mentions."""
+    words = [w for w in re.findall("[a-z0-9]+", text.lower()) if w not in fixed.EVENT_STOP_WORDS and not w.isdigit()]
+    out = {}
+    for a, b in zip(words, words[1:]):
+        ga, gb = a in fixed.GENERIC_WORDS, b in fixed.GENERIC_WORDS
+        if not (ga and gb) and (not ga or len(b) >= 3) and (not gb or len(a) >= 3):
+            out[a, b] = not ga and not gb
+    return out
+
+
+def test_events_of_whole_texts(spark, tmp_path):
+    rng, generic = random.Random(9), sorted(fixed.GENERIC_WORDS)
+    texts = [drawn(rng, 90) for _ in range(30)]
+    texts[1][80:82] = texts[0][70:72]
+    texts[3][60:62], texts[3][70:72], texts[4][65:67], texts[4][75:77], texts[5][60:62] = ([w, x] for w, x in [(generic[0], "zebraxx"), (generic[1], "yakxx")] * 2 + [(generic[0], "zebraxx")])
+    rows = [(700 + i, " ".join(w), "en", "s0", 0) for i, w in enumerate(texts)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    grams = {r[0]: plain_bigrams(r[1]) for r in rows}
+    got = catalog.queries()["event_bigrams_whole"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n, r.strong) for r in got} == {i: (len(g), sum(g.values())) for i, g in grams.items()}
+    group = {i: i for i in grams}
+    for a, b in combinations(sorted(grams), 2):
+        shared = [g for g in grams[a] if g in grams[b]]
+        if any(grams[a][g] for g in shared) or len(shared) >= 2:
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group = {i: new if x == old else x for i, x in group.items()}
+    assert group[701] == 700 and group[704] == 703 and group[705] == 705
+    got = catalog.queries()["event_groups_whole"](spark, str(tmp_path))
+    assert {tuple(r) for r in got.select(*got.columns).collect()} == set(group.items())
