@@ -1,10 +1,12 @@
-"""Batching plans: chunks, rotations, lanes, windows, and sequential rerankers on bounded pools."""
+"""Batching plans: chunks, rotations, lanes, windows, a sequential packer on bounded groups, and a reranker."""
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from . import graph
+
 
 def chunks(df: DataFrame, key: str, size: int, solo: Column) -> DataFrame:
     """Adds ``chunk``: heavy rows alone, the others ``size`` at a time in order of key."""
@@ -54,30 +56,28 @@ def diversified(df: DataFrame, pool: str, id_col: str, relevance: str, author: s
     """The ``k`` rows of each pool that a greedy trade of relevance against likeness picks, with rank and score.
 
     Each pick has the greatest ``balance * relevance - (1 - balance) * likeness
-    to what is picked``; an author has at most ``cap`` rows.  Pools are bounded.
+    to what is picked``; an author has at most ``cap`` rows.  An id is unique in
+    its pool.  A round picks one row of every pool by a partial aggregation, so
+    a pool may be of any size; what is kept between rounds is ``k`` rows a pool.
     """
-    import numpy as np
-
-    kind = df.schema[id_col].dataType.simpleString()
-    pkind = df.schema[pool].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col).reset_index(drop=True)
-        v = np.array(pdf[vector].tolist(), float)
-        norm = np.linalg.norm(v, axis=1, keepdims=True)
-        v = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
-        rel, who = pdf[relevance].to_numpy(float), pdf[author].tolist()
-        like, left, used, out = np.zeros(len(pdf)), set(range(len(pdf))), {}, []
-        while left and len(out) < k:
-            fit = [i for i in left if used.get(who[i], 0) < cap]
-            if not fit:
-                break
-            score = {i: balance * rel[i] - (1 - balance) * (like[i] if out else 0.0) for i in fit}
-            best = min(fit, key=lambda i: (-score[i], -rel[i], i))
-            out.append((pdf[pool][0], pdf[id_col][best], len(out) + 1, score[best]))
-            left.remove(best)
-            used[who[best]] = used.get(who[best], 0) + 1
-            like = np.maximum(like, v @ v[best])
-        return pd.DataFrame(out, columns=[pool, id_col, "rank", "score"])
-
-    return df.select(pool, id_col, relevance, author, vector).groupBy(pool).applyInPandas(run, f"{pool} {pkind}, {id_col} {kind}, rank int, score double")
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
+    rows = df.select(
+        F.col(pool).alias("pool"), F.col(id_col).alias("id"), F.col(relevance).cast("double").alias("rel"), F.col(author).alias("who"),
+        F.transform(F.col(vector).cast("array<double>"), lambda x: F.when(norm > 0, x / norm).otherwise(0.0)).alias("v"),
+    )
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    # -score and -rel: the least struct is the best row, of equal ones that of least id.
+    pick = lambda like: F.struct((F.lit(1 - balance) * like - F.lit(balance) * F.col("rel")).alias("s"), (-F.col("rel")).alias("r"), "id", "who", "v")
+    picked = graph.written(rows.groupBy("pool").agg(F.array(F.min(pick(F.lit(0.0)))).alias("picks")))
+    for n in range(1, k):
+        # A pool that had no row to give in the last round has none now.
+        open_ = picked.filter(F.size("picks") == n).withColumnRenamed("pool", "of")
+        left = rows.join(open_, F.col("pool").eqNullSafe(F.col("of"))).drop("of")
+        left = left.filter(~F.exists("picks", lambda p: p["id"] == F.col("id")) & (F.size(F.filter("picks", lambda p: p["who"].eqNullSafe(F.col("who")))) < cap))
+        like = F.aggregate("picks", F.lit(0.0), lambda m, p: F.greatest(m, dot(F.col("v"), p["v"])))
+        best = left.groupBy(F.col("pool").alias("of")).agg(F.min(pick(like)).alias("next"))
+        picked = picked.join(best, F.col("pool").eqNullSafe(F.col("of")), "left")
+        picked = picked.select("pool", F.when(F.col("next").isNotNull(), F.concat("picks", F.array("next"))).otherwise(F.col("picks")).alias("picks"))
+        picked = graph.written(picked)
+    out = picked.select("pool", F.posexplode("picks").alias("at", "p"))
+    return out.select(F.col("pool").alias(pool), F.col("p.id").alias(id_col), (F.col("at") + 1).alias("rank"), (-F.col("p.s")).alias("score"))

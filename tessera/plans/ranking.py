@@ -245,6 +245,13 @@ def silent_sources(t):
     return agg.silent_sources(rows, "user_id", "score")
 
 
+@query()
+def silent_sources_whole(t):
+    """Over all users; the SQL above has some ids only."""
+    rows = t("events").withColumn("score", F.when(F.col("user_id") % 5 == 0, 0.0).otherwise(F.col("value")))
+    return agg.silent_sources(rows, "user_id", "score")
+
+
 @query(f"""WITH {POOL}, g AS (SELECT source AS topic, count(*) AS n FROM pool WHERE score >= 50 GROUP BY 1), s AS (SELECT topic, n, n / sum(n) OVER () AS share FROM g ORDER BY n DESC, topic LIMIT 1)
     SELECT topic, n, round(share, 6) AS share FROM s WHERE n >= 5 AND share >= 0.3""")
 def starving_topics(t):
@@ -440,6 +447,13 @@ def inserted_if_absent(t):
     return dml.inserted_if_absent(docs.filter("doc_id < 500"), docs.filter("doc_id between 300 and 699"), "doc_id")
 
 
+@query()
+def inserted_if_absent_whole(t):
+    """Two thirds of all documents, then two thirds of which half are there; the SQL above has some ids only."""
+    docs, third = t("documents").select("doc_id"), F.coalesce(F.pmod("doc_id", F.lit(3)), F.lit(0))
+    return dml.inserted_if_absent(docs.filter(third != 0), docs.filter(third != 1), "doc_id")
+
+
 @query("""SELECT s_suppkey, s_nationkey, s_name FROM supplier WHERE s_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 5 = 0)
     UNION ALL SELECT s_suppkey, s_nationkey, upper(s_name) FROM supplier WHERE s_suppkey % 5 = 0""")
 def replaced_children(t):
@@ -605,5 +619,5 @@ def filled_chunks(t):
 
 @query()
 def diversified_pool(t):
-    rows = t("embeddings").filter("vec_id < 300").select(F.col("label").alias("pool"), "vec_id", (F.col("vec_id") % 97 / 97).alias("rel"), (F.col("vec_id") % 7).alias("who"), "embedding")
+    rows = t("embeddings").select(F.col("label").alias("pool"), "vec_id", (F.col("vec_id") % 97 / 97).alias("rel"), (F.col("vec_id") % 7).alias("who"), "embedding")
     return planning.diversified(rows, "pool", "vec_id", "rel", "who", "embedding", 5)

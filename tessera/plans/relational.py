@@ -148,6 +148,13 @@ def index_pages(t):
     return sinks.index_page(docs, "keys", "line")
 
 
+@query()
+def index_pages_whole(t):
+    """Over all documents; the SQL above has some ids only."""
+    docs = t("documents").select(F.array("lang").alias("keys"), F.concat(F.lit("- "), "source", F.lit("/"), "doc_id").alias("line"))
+    return sinks.index_page(docs, "keys", "line")
+
+
 @query("""SELECT doc_id, sha256('---' || chr(10) || 'id: ' || doc_id || chr(10) || 'source: ' || source || chr(10) || '---' || chr(10) || chr(10)
     || '# ' || substr(text, 1, 30) || chr(10) || chr(10) || text) AS sha FROM documents""")
 def notes(t):

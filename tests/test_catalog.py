@@ -295,3 +295,43 @@ def test_events_of_whole_texts(spark, tmp_path):
     assert group[701] == 700 and group[704] == 703 and group[705] == 705
     got = catalog.queries()["event_groups_whole"](spark, str(tmp_path))
     assert {tuple(r) for r in got.select(*got.columns).collect()} == set(group.items())
+
+
+def plain_diversified(rows, k, balance=0.7, cap=2):
+    """[(pool, id, rank, score)] for rows (pool, id, rel, who, unit vector), by trying every row."""
+    out = []
+    for pool in {r[0] for r in rows}:
+        left, picks = sorted((r for r in rows if r[0] == pool), key=lambda r: r[1]), []
+        while len(picks) < k:
+            fit = [r for r in left if r not in picks and sum(p[3] == r[3] for p in picks) < cap]
+            score = lambda r: balance * r[2] - (1 - balance) * max([0.0, *(sum(x * y for x, y in zip(r[4], p[4])) for p in picks)])
+            if not fit:
+                break
+            best = min(fit, key=lambda r: (-score(r), -r[2], r[1]))
+            out.append((pool, best[1], len(picks) + 1, round(score(best), 6)))
+            picks.append(best)
+    return out
+
+
+def test_diversified_reads_the_whole_table(spark, tmp_path):
+    rng, rows = random.Random(3), []
+    for i in range(250, 900):
+        v = [rng.gauss(0, 1) for _ in range(6)]
+        rows.append((i, i % 3 if i < 890 else 7, v if i % 50 else [0.0] * 6))
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    unit = lambda v: [x / (sum(y * y for y in v) ** 0.5 or 1.0) for x in v]
+    want = plain_diversified([(p, i, i % 97 / 97, i % 7, unit(v)) for i, p, v in rows], 5)
+    got = catalog.queries()["diversified_pool"](spark, str(tmp_path))
+    assert got.columns == ["pool", "vec_id", "rank", "score"] and max(w[1] for w in want) > 300
+    assert {(r.pool, r.vec_id, r["rank"], round(r.score, 6)) for r in got.collect()} == set(want)
+
+
+def test_whole_tables_without_id_filters(spark, whole, tmp_path):
+    path, _, rows = whole
+    got = [r.doc_id for r in catalog.queries()["inserted_if_absent_whole"](spark, path).collect()]
+    assert sorted(got) == sorted(r[0] for r in rows) and max(got) >= 700
+    pages = {r.key: (r.n, r.page) for r in catalog.queries()["index_pages_whole"](spark, path).collect()}
+    lines = {lang: sorted(f"- {r[3]}/{r[0]}" for r in rows if r[2] == lang) for lang in ("en", "de")}
+    assert pages == {lang: (len(x), "\n".join(x)) for lang, x in lines.items()}
+    spark.createDataFrame([(1, 3.0), (41, 0.0), (42, 1.0), (45, 9.0), (41, 0.0)], "user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert {r.user_id for r in catalog.queries()["silent_sources_whole"](spark, str(tmp_path)).collect()} == {41, 45}
