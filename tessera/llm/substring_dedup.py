@@ -1,13 +1,12 @@
-"""Substring deduplication by relative Lempel-Ziv parsing over words.
-
-The corpus is its own reference.  It is cut by its own content into reference
-blocks (see ``repeats``), and all of them are indexed: key, hash, first holder.
-A document is parsed from left to right into factors, each as long as it can be:
-a factor goes on while the next block is one that an earlier document holds.
-Every block is at least a window of 50 words long, so every factor is long
-enough to be a duplicate span.  A factor ends where a block differs from the
-reference; there, at the factor boundaries, the windows of the unlike blocks are
-checked one by one, so that a span reaches as far as its words do.
+"""Substring deduplication over words by the hashes of anchors, blocks and windows.
+
+This stands in for a relative Lempel-Ziv parse: no document is factored greedily
+against an index.  The corpus is its own reference.  It is cut by its own content
+into reference blocks (see ``repeats``) of at least a window of 50 words, and all
+of them are indexed: key, hash, first holder.  Neighbouring blocks that earlier
+documents hold are joined into factors; where a block differs from the reference,
+the windows of the unlike blocks are checked one by one, so that a span reaches
+as far as its words do.
 
 A word is removed if a window of ``width`` consecutive words that covers it also
 starts in a document with a smaller id.  Windows are judged on the input.
