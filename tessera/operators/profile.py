@@ -1,4 +1,4 @@
-"""Rule enrichment, preference profiles and deterministic clustering."""
+"""Entities, rule enrichment, host tools, deterministic clustering and the text to embed."""
 
 from __future__ import annotations
 
