@@ -31,16 +31,17 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once into the shared folder and read back: its lineage ends there, so a lost executor costs no recomputation of what came before."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._durable = path
+    return back
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files under a :func:`durable` result that nothing will read again."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(conf).delete(path, True)
+def forget(*written: DataFrame) -> None:
+    """Deletes the files under :func:`durable` results that nothing will read again."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._durable)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def splitters(keys: DataFrame, parts: int, sample: int = 4096) -> list[tuple]:

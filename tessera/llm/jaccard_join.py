@@ -9,21 +9,24 @@ least ``P - d`` lanes are equal.  Two sets of sizes a and b and a similarity of
 3/4 or more are at most ``(a + b) / 7`` apart.
 
 Hence the join: a document may leave out ``P - d - 1`` of its lanes and still
-shares one with each partner.  All leave out first the lanes with the fewest
-shingles, the empty ones before all, and of equals those of least hash; since
-equal lanes rank alike, the rarest lane that a pair shares is kept by both.  A
+shares one with each partner.  All leave out first the empty lanes, then the most
+frequent ones, then those with the fewest shingles, and of equals those of least
+hash; since equal lanes rank alike, the rarest lane that a pair shares is kept by
+both.  There are about twice as many lanes as a document keeps, so one that half
+consists of passages which many documents share can leave all of them out.  A
 document joins in the band of its size and, as the smaller side, in the next:
 bands are a factor of 4/3 wide, so partners always meet in the band of the
 larger one.
 
 Lanes of equal hash make candidate pairs.  A pair goes on only if the parity
 sketches of its sets, in which every shingle flips one bit, lie within the same
-bound of each other; what is left is verified on the full sets.
-Copies (equal sets) count as one.  Of a lane that several documents share first
-only the pairs with its smallest id are verified, which settles groups of near
-copies; once the components of those links are known, the pairs of such a lane
-that lie in different components are verified too.  So no link between
-components is missed, and no group of copies is expanded into pairs.
+bound of each other; what is left is verified on the full sets of 64-bit
+shingles.  Copies (equal sets) count as one.  Of a lane that several documents
+share first only the pairs with its smallest id are verified, which settles groups
+of near copies.  Once the components of those links are known, the lanes that
+still hold several components are compared sketch by sketch where they lie, in
+tiles; only pairs of different components and near sketches ever become rows.  So
+no link between components is missed, and no group is expanded into pairs.
 
 Defined cases: a null or empty text, or one of white space, has no shingles and
 is its own component; with fewer than five words the sequence is one shingle;
@@ -41,20 +44,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable
+from .common import durable, forget
 from .repeats import Hashed, byte_values, dealt, encoded, mix, n_bins, pack, runs_of, stretches, unpack, unpacked, word_bounds
 
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
-#: One in so many documents is looked at for frequent lanes; documents of these that must share one; lanes named at most.
-LOOK, FREQUENT, NAMED = 4, 4, 1 << 20
+#: One in so many documents is looked at for frequent lanes; different sets of these that must share one; lanes named at most.
+LOOK, FREQUENT, NAMED = 8, 3, 1 << 20
+#: Members of a lane that are compared at once: a larger lane is dealt out as pairs of tiles.
+TILE = 2048
 #: Pairs of ids, 16 bytes each, that may be broadcast.
 BROADCAST_ROWS = 1 << 20
 
 _LOWER = np.arange(256, dtype="u1")
 _LOWER[65:91] += 32
 LANE = {"hash": "<u4", "hash2": "<u2", "doc": "<i8"}
+#: Hashes of frequent lanes, ascending, and how frequent each is (the logarithm of its count).
+Frequent = tuple[np.ndarray, np.ndarray]
 _DEALT = "kind int, bin int, payload binary"
 
 
@@ -84,9 +91,9 @@ def band_of(size: int) -> int:
 
 @functools.lru_cache(maxsize=None)
 def lanes_of_band(band: int) -> int:
-    """The most that two sets of the band differ by, one more, and room for lanes that stay empty."""
+    """Twice as many as the most that two sets of the band differ by, and some: one half of them may be left out."""
     most = 2 * (band_start(band + 1) - 1) // 7
-    return -(-118 * (most + 1) // 100) + 4
+    return 2 * (most + 1) + 4
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -106,13 +113,19 @@ def lanes_in(tokens: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     return _short(mix(sketch ^ mix(np.arange(lanes, dtype="u8") + np.uint64(lanes << 32)))), count
 
 
-def kept_lanes(tokens: np.ndarray, band: int, apart: int, frequent: np.ndarray) -> np.ndarray:
-    """The hashes of the ``apart + 1`` lanes that a document joins with in a band; ``frequent`` is sorted."""
+_NO_FREQUENT: Frequent = (np.zeros(0, "u8"), np.zeros(0, "u1"))
+
+
+def kept_lanes(tokens: np.ndarray, band: int, apart: int, frequent: Frequent) -> np.ndarray:
+    """The hashes of the ``apart + 1`` lanes that a document joins with in a band."""
     hashes, count = lanes_in(tokens, band)
-    rare = count > 0
-    if len(frequent):
-        rare &= frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] != hashes
-    rank = np.lexsort((hashes, np.minimum(count, 3), rare))
+    often = np.zeros(len(hashes), "i8")
+    names, grade = frequent
+    if len(names):
+        at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+        often = np.where(names[at] == hashes, grade[at], 0).astype("i8")
+    often[count == 0] = 256
+    rank = np.lexsort((hashes, np.minimum(count, 3), -often))
     return hashes[rank[len(hashes) - min(len(hashes), apart + 1) :]]
 
 
@@ -132,7 +145,7 @@ def joins_of(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray = _NONE) -> np.ndarray:
+def signatures(tokens: np.ndarray, frequent: Frequent = _NO_FREQUENT) -> np.ndarray:
     """All lane hashes that a set joins with."""
     out = [kept_lanes(tokens, band, apart, frequent) for band, apart in joins_of(len(tokens))]
     return np.concatenate(out) if out else _NONE
@@ -162,13 +175,12 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 
 def packed_set(tokens: np.ndarray) -> bytes:
-    """A set as the gaps between 40 bits of each hash, half as long as the hashes."""
-    short = np.unique(tokens >> np.uint64(24))
-    return pack(gap=np.diff(short, prepend=np.uint64(0)))
+    """A sorted set of 64-bit shingles as the gaps between them."""
+    return pack(gap=np.diff(tokens, prepend=np.uint64(0)))
 
 
 def unpacked_set(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, gap="<u8")["gap"])
+    return np.cumsum(unpack(data, gap="<u8")["gap"], dtype="u8")
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -197,8 +209,11 @@ def _scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, key long, sketch binary")
 
 
-def _lanes(docs: DataFrame, bins: int, lanes_of: Callable) -> DataFrame:
-    """The lanes that ``lanes_of`` names for the sets of all documents, packed and dealt out by hash."""
+def _lanes(docs: DataFrame, bins: int, lanes_of: Callable, by_set: bool = False) -> DataFrame:
+    """The lanes that ``lanes_of`` names for the sets of all documents, packed and dealt out by hash.
+
+    They carry the document or, ``by_set``, the key of its set.
+    """
 
     def flush(got, ids):
         if got:
@@ -213,10 +228,11 @@ def _lanes(docs: DataFrame, bins: int, lanes_of: Callable) -> DataFrame:
             for doc, text in zip(batch.column("doc"), batch.column("text")):
                 if not doc.is_valid:
                     continue
-                got.append(lanes_of(shingles(encoded(text))))
-                ids.append(doc.as_py())
+                tokens = shingles(encoded(text))
+                got.append(lanes_of(tokens))
+                ids.append(_set_key(tokens) if by_set else doc.as_py())
                 held += len(got[-1])
-                if held > 1 << 21:
+                if held > 1 << 20:
                     yield from flush(got, ids)
                     got, ids, held = [], [], 0
         yield from flush(got, ids)
@@ -224,19 +240,31 @@ def _lanes(docs: DataFrame, bins: int, lanes_of: Callable) -> DataFrame:
     return docs.mapInArrow(run, _DEALT)
 
 
-def _frequent(docs: DataFrame, bins: int) -> np.ndarray:
-    """The lanes that ``FREQUENT`` or more of the documents looked at share, the ``NAMED`` most frequent at most."""
+def _frequent(docs: DataFrame, bins: int) -> Frequent:
+    """The lanes that ``FREQUENT`` or more different sets of the documents looked at share.
+
+    Each bin names at most its share of ``NAMED``, its most frequent ones, so what
+    the driver collects never exceeds ``NAMED`` lanes, whatever the input.
+    """
     some = docs.filter(F.pmod(F.xxhash64("doc", F.lit(11)), F.lit(LOOK)) == 0)
+    share = max(1, NAMED // bins)
 
     def run(table):
         got = unpacked(table["payload"], **LANE)
-        hashes, count = np.unique(got["hash"].astype("u8") | (got["hash2"].astype("u8") << np.uint64(48)), return_counts=True)
-        often = count >= FREQUENT
-        return pa.table([pa.array(hashes[often].view("i8")), pa.array(count[often].astype("i8"))], names=["lane", "n"])
+        hashes = got["hash"].astype("u8") | (got["hash2"].astype("u8") << np.uint64(48))
+        by = np.lexsort((got["doc"], hashes))
+        hashes, sets = hashes[by], got["doc"][by]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (sets[1:] != sets[:-1])
+        hashes, count = np.unique(hashes[new], return_counts=True)
+        top = np.lexsort((hashes, -count))[:share]
+        top = top[count[top] >= FREQUENT]
+        return pa.table([pa.array(hashes[top].view("i8")), pa.array(count[top].astype("i8"))], names=["lane", "n"])
 
-    found = _lanes(some, bins, all_lanes).groupBy("bin").applyInArrow(run, "lane long, n long")
-    top = found.orderBy(F.desc("n"), "lane").limit(NAMED).select("lane").toPandas()["lane"].to_numpy("i8")
-    return np.sort(top.view("u8"))
+    found = _lanes(some, bins, all_lanes, by_set=True).groupBy("bin").applyInArrow(run, "lane long, n long").toArrow()
+    names, count = (found[c].to_numpy() for c in ("lane", "n"))
+    by = np.argsort(names.view("u8"))
+    return names.view("u8")[by], np.minimum(np.log2(np.maximum(count[by], 1)) * 4, 255).astype("u1")
 
 
 def _candidates(lanes: DataFrame) -> DataFrame:
@@ -289,29 +317,93 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets_: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, by the full sets of both.
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches folded to ``size`` bytes, a row each."""
+    out = np.zeros((len(sketches), size), "u1")
+    for k, s in enumerate(sketches):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(s, "u1").reshape(-1, size))
+    return out.view("u8")
+
+
+def near_pairs(group: np.ndarray, tile: np.ndarray, whole: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes (a, b) of rows of one group that have unequal roots and near sketches.
+
+    In a group that isn't ``whole`` only rows of unlike tiles meet.  Partners are
+    sought among the rows of like size, ``TILE`` squared comparisons at a time.
+    """
+    by = np.lexsort((n, group))
+    group, tile, whole, node, root, n = (x[by] for x in (group, tile, whole, node, root, n))
+    sketch = [sketch[k] for k in by]
+    wide = np.array([len(s) for s in sketch], "i8")
+    place = group.astype("i8") << 40
+    first = np.arange(1, len(n) + 1)
+    count = np.searchsorted(place + n, place + 4 * n // 3, "right") - first
+    flat = {}
+    for size in np.unique(wide).tolist():  # sets of like size have sketches of one size or of the next
+        at = np.flatnonzero((wide == size) | (wide == 2 * size))
+        row = np.zeros(len(n), "i8")
+        row[at] = np.arange(len(at))
+        flat[size] = row, folded([sketch[k] for k in at], size)
+    found = [np.zeros((2, 0), "i8")]
+    ends = np.cumsum(count)
+    for chunk in np.split(np.arange(len(n)), np.flatnonzero(np.diff(ends // (TILE * TILE))) + 1):
+        x, y = np.repeat(chunk, count[chunk]), stretches(first[chunk], count[chunk])
+        meet = (root[x] != root[y]) & (node[x] != node[y]) & (whole[x] | (tile[x] != tile[y]))
+        x, y = x[meet], y[meet]
+        low = np.minimum(wide[x], wide[y])
+        for size in np.unique(low).tolist():
+            at = np.flatnonzero(low == size)
+            row, bits = flat[size]
+            for part in np.array_split(at, 1 + len(at) * size // (32 << 20)):
+                i, j = x[part], y[part]
+                apart = np.bitwise_count(bits[row[i]] ^ bits[row[j]]).sum(axis=1, dtype="i8")
+                near = apart <= (n[i] + n[j]) // 7
+                found.append(np.stack([node[i[near]], node[j[near]]]))
+    pairs = np.concatenate(found, axis=1)
+    return tuple(np.unique(np.sort(pairs, axis=0), axis=1))
+
+
+def _across(crowd: DataFrame, sets: DataFrame, bins: int) -> DataFrame:
+    """The pairs (a, b) of nodes that share a lane of ``crowd`` (lane, node, root, head, m), but no root, and have near sketches.
+
+    A lane of more than ``TILE`` members is dealt out as pairs of tiles.
+    """
+    # A lane's head has been tried with every other member.
+    rows = crowd.filter("node != head").withColumn("k", F.ceil(F.col("m") / TILE).cast("int"))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("lane", "node", "root", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    rows = rows.withColumn("bin", F.pmod(F.xxhash64("lane", "i", "j"), F.lit(bins)).cast("int"))
+    rows = rows.join(sets.select(F.col("doc").alias("node"), "n", "sketch"), "node")
+
+    def run(table):
+        lane, i, j, tile, node, root, n = (table[c].to_numpy() for c in ("lane", "i", "j", "tile", "node", "root", "n"))
+        by = np.lexsort((j, i, lane))
+        group = np.zeros(len(by), "i8")
+        group[by] = runs_of(lane[by], i[by], j[by])
+        a, b = near_pairs(group, tile, i == j, node, root, n, table["sketch"].to_pylist())
+        return pa.table([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return rows.groupBy("bin").applyInArrow(run, "a long, b long").distinct()
 
-    The set of b goes to a.  Few pairs go to where the texts are; more than
-    that meet the texts in a shuffle.
+
+def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+    """The written pairs (a, b) that link, by the full sets of both.
+
+    A set is made once for each document that stands in a pair.  The ids of few
+    pairs go to where the texts are; more than that meet the texts in a shuffle.
     """
-    pairs = durable(_near(pairs, sets_), "pairs")
-    near = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda x: x)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    if pairs.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
 
     def run(batches):
         for batch in batches:
             sets = [packed_set(shingles(encoded(t))) for t in batch.column("text")]
-            for k in range(len(sets)):  # one row for each a
-                to = batch.column("to")[k].as_py()
-                ids = pa.array([batch.column("doc")[k].as_py()] * len(to), pa.int64())
-                yield pa.record_batch([pa.array(to, pa.int64()), ids, pa.array([sets[k]] * len(to), pa.binary())], names=["a", "b", "tokens"])
-
-    def sets(need: DataFrame) -> DataFrame:
-        return docs.join(near(need), "doc").select("doc", "text", "to").mapInArrow(run, "a long, b long, tokens binary")
+            yield pa.record_batch([batch.column("doc"), pa.array(sets, pa.binary())], names=["doc", "tokens"])
 
-    heads = sets(pairs.select(F.col("a").alias("doc")).distinct().withColumn("to", F.array("doc")))
-    heads = heads.select("a", F.col("tokens").alias("left"))
-    others = sets(pairs.groupBy(F.col("b").alias("doc")).agg(F.collect_set("a").alias("to")))  # a lane of b's each
+    sets = durable(docs.join(ids, "doc").select("doc", "text").mapInArrow(run, "doc long, tokens binary"), "tokens")
+    side = lambda c, name: sets.select(F.col("doc").alias(c), F.col("tokens").alias(name))
 
     def check(batches):
         for batch in batches:
@@ -321,8 +413,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets_: DataFrame, threshold: in
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    met = others.withColumnRenamed("tokens", "right").join(heads, "a").select("a", "b", "left", "right")
-    return met.mapInArrow(check, "a long, b long").distinct()
+    met = pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").select("a", "b", "left", "right")
+    links = durable(met.mapInArrow(check, "a long, b long").distinct(), "links")
+    forget(sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -341,10 +435,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        edges = durable(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u != v").distinct(), "edges")
+        old, edges = edges, durable(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u != v").distinct(), "edges")
+        forget(old)
         now = mark(edges)
         if now == before:
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+            roots = durable(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")), "roots")
+            forget(edges)
+            return roots
         before = now
 
 
@@ -355,9 +452,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind, bins = docs.schema[id_col].dataType.simpleString(), n_bins(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sets = durable(_scan(rows), "sets")
-    reps = sets.filter("n > 0").groupBy("n", "key").agg(F.min("doc").alias("rep"))
-    member = durable(sets.join(reps, ["n", "key"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "member")
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows, bins))  # NAMED longs at most
+    # Only groups of several documents need a lookup.  Written first, so that a hot group's rows can be split in the join.
+    reps = sets.filter("n > 0").groupBy("n", "key").agg(F.min("doc").alias("rep"), F.count("*").alias("c")).filter("c > 1")
+    reps = durable(reps.select("n", "key", "rep"), "reps")
+    member = durable(sets.select("doc", "n", "key").join(reps, ["n", "key"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "member")
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows, bins))  # NAMED lanes at most
     found = durable(_candidates(_lanes(rows, bins, lambda tokens: signatures(tokens, frequent.value))), "candidates")
 
     full = sets.filter("n > 0").select("doc", "n", "sketch")
@@ -373,26 +472,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
         )
 
-    tried = durable(of_reps(found.filter("kind = 0")), "tried")
-    links = _verified(tried, rows, full, threshold)
+    tried = durable(_near(of_reps(found.filter("kind = 0")), full), "tried")
+    found_links = _verified(tried, rows, threshold)
     # Rows that share an id are one node: the representatives of their texts are linked.
     lead = of.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("doc", "a")
-    links = durable(links.unionByName(of.join(lead, "doc").filter("rep != a").select("a", F.col("rep").alias("b"))), "links")
+    links = durable(found_links.unionByName(of.join(lead, "doc").filter("rep != a").select("a", F.col("rep").alias("b"))), "links")
     roots = components(links)
-    # Lanes of several documents: their pairs across components.
+    # Lanes of several documents whose members lie in several components.
     crowd = found.filter("kind = 1").select(F.col("a").alias("lane"), F.col("b").alias("doc"))
     crowd = crowd.join(of, "doc").select("lane", F.col("rep").alias("node")).distinct().join(roots, "node", "left")
-    crowd = crowd.withColumn("root", F.coalesce("root", "node"))
-    sizes = crowd.groupBy("lane", "root").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("lane").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
-    mixed = durable(crowd.join(main.filter("roots > 1").select("lane", "main"), "lane"), "mixed")
-    # Only members outside a lane's largest component look for partners: the pairs inside it are never formed.
-    minor = mixed.filter("root != main").select("lane", F.col("node").alias("x"), F.col("root").alias("own"))
-    met = minor.join(mixed, "lane").filter("own != root")
-    across = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    more = durable(_verified(of_reps(across).join(tried, ["a", "b"], "left_anti"), rows, full, threshold), "links")
+    crowd = durable(crowd.withColumn("root", F.coalesce("root", "node")), "crowd")
+    mixed = crowd.groupBy("lane").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("head"), F.count("*").alias("m"))
+    mixed = durable(mixed.filter("lo != hi").select("lane", "head", "m"), "mixed")
+    across = durable(_across(crowd.join(mixed, "lane"), full, bins).join(tried, ["a", "b"], "left_anti"), "across")
+    more = _verified(across, rows, threshold)
+    done = [found, crowd, mixed, across, tried]
     if not more.isEmpty():
+        done.append(roots)
         roots = components(links.unionByName(more))
+    forget(*done, sets, reps, found_links, links, more)
     out = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select(
         F.col("doc").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep").cast(kind).alias("component_id")
@@ -400,7 +498,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does, with all columns."""
+    """The rows of ``docs`` that stay when one document of each component does, with all columns.
+
+    Rows whose id is null stay; so does every row that has the id that stays.
+    """
     found = jaccard_components(docs, id_col, text_col, threshold)
-    gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
