@@ -11,6 +11,13 @@ their bags, the sum of the lesser weights over the sum of the greater ones.
 The draws do not depend on the weight: versions of a text are sampled together,
 and a word in several of them draws once.
 
+Few draws can win.  The exponential of a score is at least ``(1 - e^-c) e^-r``
+over the weight, and closer still for a word that occurs once, which takes no
+logarithm; the least of a bag of total weight W exceeds ``BEYOND / W`` with a
+probability of ``e^-BEYOND``, about that of two samples sharing their 32 bits.
+Draws whose bound lies above that are left out before any logarithm is taken and
+before any row is grouped; a bag whose every draw was left out has sample 0 there.
+
 A sample is kept as 32 hash bits of (word, t).  A score is held in the upper 31
 bits of a long and the sample in the lower 32, so that one ``min`` of longs for
 each sample finds both, inside generated code, with partial aggregation.
@@ -27,34 +34,35 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import SPACE, shuffle_partitions, with_neighbours
 
 SAMPLES = 64
-#: Samples computed in one generated row: keeps the generated methods small enough to be compiled.
-BLOCK = 2
+#: A bag's least score lies above ln(BEYOND / weight of the bag) with a probability of e^-BEYOND.
+BEYOND = 16
+
 
+def _scores(rows: DataFrame, versions: int) -> DataFrame:
+    """From rows (..., term, sample, bound, once, lnw0, ...): s0, s1, ..., the packed score and sample of (term, lnw0), ...; null where lnw is.
 
-def _block(rows: DataFrame, versions: int) -> DataFrame:
-    """Adds s0_0, s0_1, ...: for the samples of the row's block (a hash) their packed score and sample of (term, lnw0), then s1_0, ... of (term, lnw1); null where lnw is."""
+    Rows that can't be their bag's least are left out.
+    """
     # Uniform numbers between 0 and 1 from 21 and from 32 bits of a hash.
     low = lambda h, at: f"(((shiftrightunsigned({h}, {at}) & 2097151L) + 0.5D) * {2.0**-21!r}D)"
     half = lambda h, at: f"(((shiftrightunsigned({h}, {at}) & 4294967295L) + 0.5D) * {2.0**-32!r}D)"
-    hashes, draws, steps, packed = {}, {}, {}, {}
-    for k in range(BLOCK):
-        hashes[f"h{k}"] = F.expr(f"xxhash64(term ^ block ^ {2 * k + 1}L)")
-        hashes[f"g{k}"] = F.expr(f"xxhash64(term ^ block ^ {2 * k + 2}L)")
-        draws[f"r{k}"] = F.expr(f"-ln({low(f'h{k}', 0)} * {low(f'h{k}', 21)})")
-        draws[f"c{k}"] = F.expr(f"ln(-ln({half(f'g{k}', 0)} * {half(f'g{k}', 32)}))")
-        draws[f"b{k}"] = F.expr(low(f"h{k}", 42))
-        for v in range(versions):
-            t = f"t{v}_{k}"
-            steps[t] = F.expr(f"floor(lnw{v} / r{k} + b{k})")
-            # Scores lie well inside -512..512; 2**21 steps to one.
-            packed[f"s{v}_{k}"] = F.expr(
-                f"if(lnw{v} is null, null, shiftleft(cast((greatest(least(c{k} - r{k} * ({t} - b{k} + 1D), 511D), -511D) + 512D) * 2097152D as bigint), 32)"
-                f" | ((term ^ shiftleft({t}, 20) ^ {t}) & 4294967295L))"
-            )
-    stage = rows
-    for columns in (hashes, draws, steps, packed):
-        stage = stage.withColumns(columns)
-    return stage.select(*[c for c in rows.columns if c != "term" and not c.startswith("lnw")], *packed)
+    # The partition's number keeps the optimizer from moving the filter below the hashes, where each would be computed several times.
+    hashes = {"h": F.expr("xxhash64(term ^ sample)"), "g": F.expr("xxhash64(sample, term)"), "here": F.spark_partition_id()}
+    factors = {"z": F.expr(f"{low('h', 0)} * {low('h', 21)}"), "y": F.expr(f"{half('g', 0)} * {half('g', 32)}"), "b": F.expr(low("h", 42)), "here": F.spark_partition_id()}
+    # exp(-r s) is at least z / (s + (1 - s) z), where s is 1 - b for a word that occurs once, else 1 and a lower bound.
+    stage = rows.withColumns(hashes).withColumns(factors)
+    stage = stage.filter("here >= 0 and (1D - y) * z <= bound * (1D - b * once * (1D - z))")
+    stage = stage.withColumns({"r": F.expr("-ln(z)"), "c": F.expr("ln(-ln(y))")})
+    stage = stage.withColumns({f"t{v}": F.expr(f"floor(lnw{v} / r + b)") for v in range(versions)})
+    # Scores lie well inside -512..512; 2**21 steps to one.
+    packed = {
+        f"s{v}": F.expr(
+            f"if(lnw{v} is null, null, shiftleft(cast((greatest(least(c - r * (t{v} - b + 1D), 511D), -511D) + 512D) * 2097152D as bigint), 32)"
+            f" | ((term ^ shiftleft(t{v}, 20) ^ t{v}) & 4294967295L))"
+        )
+        for v in range(versions)
+    }
+    return stage.withColumns(packed)
 
 
 def fingerprints(bags: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
@@ -68,22 +76,35 @@ def fingerprints(bags: DataFrame, keys: list[str], samples: int = SAMPLES) -> Da
 
 def version_fingerprints(bags: DataFrame, keys: list[str], versions: int, samples: int = SAMPLES) -> DataFrame:
     """(keys, fp0, fp1, ...): as :func:`fingerprints`, for rows (keys, phrases) whose phrases hold an array of strings for each version; a null one has no fingerprint."""
-    blocks = samples // BLOCK
-    bag = bags.select(*keys, F.posexplode("phrases").alias("version", "bag"))
     # The empty bag holds the empty phrase, which no other has.
-    some = F.when(F.size("bag") > 0, F.col("bag")).when(F.col("bag").isNotNull(), F.array(F.lit("")))
-    terms = bag.select(*keys, "version", F.explode(some).alias("phrase"))
-    terms = terms.select(*keys, "version", F.xxhash64("phrase").alias("term"))
-    terms = terms.groupBy(*keys, "term").agg(*[F.count_if(F.col("version") == v).alias(f"w{v}") for v in range(versions)])
+    full = F.transform("phrases", lambda x: F.when(F.size(x) > 0, x).when(x.isNotNull(), F.array(F.lit(""))))
+    totals = {f"n{v}": F.greatest(F.size(F.col("phrases")[v]), F.lit(1)) for v in range(versions)}
+    terms = bags.select(*keys, *[n.alias(c) for c, n in totals.items()], F.posexplode(full).alias("version", "bag"))
+    terms = terms.select(*keys, *totals, "version", F.explode("bag").alias("phrase"))
+    terms = terms.select(*keys, *totals, "version", F.xxhash64("phrase").alias("term"))
+    weights = [F.count_if(F.col("version") == v).alias(f"w{v}") for v in range(versions)]
+    terms = terms.groupBy(*keys, "term").agg(*weights, *[F.first(n).alias(n) for n in totals])
     # A word that a version lacks has the null logarithm there.
-    logs = [F.when(F.col(f"w{v}") > 0, F.ln(F.col(f"w{v}").cast("double"))).alias(f"lnw{v}") for v in range(versions)]
-    rows = terms.select(*keys, "term", *logs).withColumn("block", F.explode(F.array(*[F.xxhash64(F.lit(b)) for b in range(blocks)])))
-    scores = [f"s{v}_{k}" for v in range(versions) for k in range(BLOCK)]
-    least = _block(rows, versions).groupBy(*keys, "block").agg(*[F.min(s).alias(s) for s in scores])
-    lows = [F.array(*[F.col(f"s{v}_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(BLOCK)]).alias(f"lows{v}") for v in range(versions)]
-    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", *lows))).alias("parts"))
-    fps = [F.flatten(F.col(f"parts.lows{v}")) for v in range(versions)]
-    return gathered.select(*keys, *[F.when(F.element_at(fp, 1).isNotNull(), fp).alias(f"fp{v}") for v, fp in enumerate(fps)])
+    logs = {f"lnw{v}": F.when(F.col(f"w{v}") > 0, F.ln(F.col(f"w{v}").cast("double"))) for v in range(versions)}
+    share = [F.col(f"w{v}") * float(BEYOND) / F.col(f"n{v}") for v in range(versions)]
+    most = [F.col(f"w{v}") for v in range(versions)]
+    bound = F.greatest(*share, F.lit(0.0)) * (1 + 1e-9)
+    once = (F.greatest(*most, F.lit(0)) <= 1).cast("double")
+    rows = terms.select(*keys, "term", bound.alias("bound"), once.alias("once"), *[x.alias(c) for c, x in logs.items()])
+    rows = rows.withColumn("sample", F.explode(F.array(*[F.xxhash64(F.lit(k)) for k in range(samples)])))
+    least = _scores(rows, versions).groupBy(*keys, "sample").agg(*[F.min(f"s{v}").alias(f"s{v}") for v in range(versions)])
+    lows = [F.col(f"s{v}").bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"low{v}") for v in range(versions)]
+    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("sample", *lows))).alias("got"))
+    # Samples in the order of their hashes; where one is missing, which hardly ever happens, its place is found by the hash.
+    places = F.sort_array(F.array(*[F.xxhash64(F.lit(k)) for k in range(samples)]))
+
+    def print_of(v: int) -> Column:
+        found = F.col(f"got.low{v}")
+        by_hash = F.map_from_arrays(F.col("got.sample"), found)
+        whole = F.when(F.size("got") == samples, found).otherwise(F.transform(places, lambda k: F.try_element_at(by_hash, k)))
+        return F.when(F.exists(found, lambda x: x.isNotNull()), F.transform(whole, lambda x: F.coalesce(x, F.lit(0))))
+
+    return gathered.select(*keys, *[print_of(v).alias(f"fp{v}") for v in range(versions)])
 
 
 def words_of(text: Column) -> Column:
