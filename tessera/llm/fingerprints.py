@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SPACE, shuffle_partitions, with_neighbours
+from .common import SPACE, ranges, with_neighbours
 
 SAMPLES = 64
 #: A bag's least score lies above ln(BEYOND / weight of the bag) with a probability of e^-BEYOND.
@@ -136,8 +136,7 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         text.alias("text"),
     )
     # More ranges than partitions, so that partitions get like shares of them.
-    parts = 4 * shuffle_partitions(docs.sparkSession)
-    near = with_neighbours(rows, ["ord", "tie"], parts, split=["ord"], after=False, cyclic=True)
+    near = with_neighbours(rows, ["ord", "tie"], ranges(docs), after=False, cyclic=True)
     place = Window.partitionBy("_bucket").orderBy("_row")
     key = ["_bucket", "_row"]
     half = F.floor(F.length("text") / 2).cast("int")
