@@ -10,11 +10,13 @@ leaves a menu or an advert that no neighbour has.  So the markup decides where
 it speaks: lines in an ``article`` or ``main`` element are text even if shared,
 lines in elements that say by name, class, id or role that they are a menu,
 header, footer, sidebar, notice, advert, form, script, style or reader comment
-are not, and on a page with an article only its lines count.  If a neighbour
-shares all of a page's remaining lines it is a copy, and no template.
+are not, even if no neighbour has them.  Of all other lines, on every page, those
+go that the nearest page shares.  If a neighbour shares all of a page's lines
+outside articles it is a copy, and no template.
 
 Order needs no task that sees a whole host: rows go into ranges of (host, path),
-and each range gets copies of the pages just outside it.
+and each range gets copies of the pages just outside it.  There are as many ranges
+as the bytes of the table ask for; pages of one URL are split among them too.
 
 Defined cases: null html is empty and gives an empty text; a null or odd URL
 counts as host and path ''; unclosed elements end with what holds them, and a tag that
@@ -32,7 +34,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_partitions, with_neighbours
+from .common import ranges, with_neighbours
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -40,8 +42,8 @@ _TOKEN = re.compile(
     r"""|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>|</?[a-zA-Z][^>]*\Z""",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 #: Elements whose content is no markup, or none of the page's text.
 RAW = frozenset("script style template noscript iframe object svg canvas math head title textarea select option audio video".split())
@@ -66,25 +68,41 @@ OUTER = frozenset("header masthead topbar".split())
 TEXT, REST, OUT = 0, 1, 2
 
 
-def _hints(rest: str) -> set[str]:
-    found: set[str] = set()
-    for m in _NAMES.finditer(rest):
-        found.update(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    return found
+def attributes(rest: str) -> dict[str, str]:
+    """The attributes of a tag by name, of equal names the first."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(rest):
+        out.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    return out
+
+
+def _hints(given: dict[str, str]) -> set[str]:
+    return {w for name in ("class", "id", "role") for w in re.split(r"[^a-z0-9]+", given.get(name, "").lower())}
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    return "hidden" in given or given.get("aria-hidden", "").lower() == "true" or bool(_UNSEEN.search(given.get("style", "")))
 
 
 def lines_of(html: str) -> list[tuple[str, int]]:
-    """The blocks of a page with their kind: TEXT in an article, OUT where the markup says it is none, else REST."""
+    """The blocks of a page with their kind: TEXT in an article, OUT where the markup says it is none, else REST.
+
+    What stands in a marked element inside a line is left out of the line.
+    """
     out: list[tuple[str, int]] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, out, main
     at, size = 0, len(html)
 
     def kind() -> int:
-        if any(o for _, o, _ in stack):
+        if any(o and (tag in BLOCK or tag in RAW) for tag, o, _ in stack):
             return OUT
         return TEXT if any(m for _, _, m in stack) else REST
 
+    def say(text: str) -> None:
+        if not any(o and tag not in BLOCK and tag not in RAW for tag, o, _ in stack):
+            held.append(text)
+
     def end_block() -> None:
         if held:
             text = " ".join(unescape("".join(held)).split())
@@ -101,10 +119,10 @@ def lines_of(html: str) -> list[tuple[str, int]]:
     while at < size:
         m = _TOKEN.search(html, at)
         if m is None:
-            held.append(html[at:])
+            say(html[at:])
             break
         if m.start() > at:
-            held.append(html[at : m.start()])
+            say(html[at : m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
@@ -112,18 +130,19 @@ def lines_of(html: str) -> list[tuple[str, int]]:
         tag, closing, rest = tag.lower(), m["end"] or m["end2"], m["rest"] or m["rest2"] or ""
         block = tag in BLOCK
         if tag == "br":
-            held.append(" ")
+            say(" ")
             continue
         if block or tag in RAW:
             end_block()
         if closing:
             close(tag)
             continue
-        if tag in VOID or rest.endswith("/"):
+        if tag in VOID:
             continue
         if tag in RAW:
             if tag in ("head", "svg", "math", "object", "noscript", "template", "select", "audio", "video", "canvas"):
-                stack.append((tag, True, False))
+                if not (rest.endswith("/") and tag in ("svg", "math")):  # only foreign elements close themselves
+                    stack.append((tag, True, False))
                 continue
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else size
@@ -140,11 +159,11 @@ def lines_of(html: str) -> list[tuple[str, int]]:
                 if stack[i][0] in BLOCK:
                     break
         main = tag in MAIN
+        given = attributes(rest) if rest and tag not in ("html", "body") else {}
         inside = main or any(x for _, _, x in stack)
-        names = _hints(rest) if rest and tag not in ("html", "body") and not main else set()
+        names = set() if main else _hints(given)
         marked = tag in ASIDE or bool(names & HINTS) or (not inside and (tag == "header" or bool(names & OUTER)))
-        marked = marked or bool(rest and tag not in ("html", "body") and _HIDDEN.search(rest))
-        stack.append((tag, marked, main))
+        stack.append((tag, marked or _hidden(given), main))
     end_block()
     return out
 
@@ -176,13 +195,11 @@ def common_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
 
 def main_text(lines: list[tuple[str, int]], shared: set[int]) -> str:
     """The lines that are text, given the places of those that the nearest page shares."""
-    if any(k == TEXT for _, k in lines):
-        kept = [x for x, k in lines if k == TEXT]
-    else:
-        rest = [i for i, (_, k) in enumerate(lines) if k == REST]
-        own = [i for i in rest if i not in shared]
-        kept = [lines[i][0] for i in own or rest]
-    return "\n\n".join(kept)
+    rest = [i for i, (_, k) in enumerate(lines) if k == REST]
+    own = {i for i in rest if i not in shared}
+    if rest and not own:  # the nearest page is a copy
+        own = set(rest) if not any(k == TEXT for _, k in lines) else own
+    return "\n\n".join(x for i, (x, k) in enumerate(lines) if k == TEXT or i in own)
 
 
 def _alike(a: str, b: str) -> int:
@@ -208,7 +225,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.xxhash64(F.col(id_col), url, html).alias("tie"),
         html.alias("html"),
     )
-    rows = with_neighbours(rows, ["host", "path", "tie"], 4 * shuffle_partitions(pages.sparkSession), split=["host", "path"])
+    rows = with_neighbours(rows, ["host", "path", "tie"], ranges(pages, 4 << 20))
     fields = f"page {kind}, url string, text string, n_chars long"
 
     def run(table):
