@@ -30,8 +30,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -151,8 +153,8 @@ def fit(x_p: list[np.ndarray], x_u: list[np.ndarray], n: int, prior: float, step
         if negative >= 0:
             slope[:n_p] = prior * (sigmoid(g_p) - 1) / n_p - prior * sigmoid(g_p) / n_p
             slope[n_p:] = sigmoid(g_u) / n_u
-        else:  # the correction has eaten up the risk of the negatives: step back from it
-            slope[:n_p] = prior * (sigmoid(g_p) - 1) / n_p + prior * sigmoid(g_p) / n_p
+        else:  # the correction has eaten up the risk of the negatives: step back along it alone
+            slope[:n_p] = prior * sigmoid(g_p) / n_p
             slope[n_p:] = -sigmoid(g_u) / n_u
         grad = np.r_[np.bincount(at, slope[text], n) + decay * w, slope.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -161,6 +163,14 @@ def fit(x_p: list[np.ndarray], x_u: list[np.ndarray], n: int, prior: float, step
     return w, float(b)
 
 
+def least_ids(ids: DataFrame, seed: int, most: int) -> DataFrame:
+    """The ``most`` ids of least hash.  A threshold from a count lets about twice as many through, so no task sends more than its share."""
+    steps = 1 << 30
+    level = min(steps, -(-2 * most * steps // max(1, ids.count())))
+    some = ids.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(steps)) < level).distinct()
+    return some.orderBy(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(steps)), "id").limit(most)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
     """A classifier from the rows that aren't held out."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null")
@@ -169,10 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not toxic:
         return Classifier({}, -800.0)
     prior = min(0.9, toxic / every)
-    draw = [F.xxhash64("id", F.lit(5)), "id"]
-    positive = known.filter("y = 1").orderBy(*draw).limit(POSITIVES).select("id", F.lit(1).alias("positive"))
-    ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").filter(folds(F.col("id")) != 0).distinct()
-    unlabelled = ids.orderBy(F.xxhash64("id", F.lit(6)), "id").limit(UNLABELLED).select("id", F.lit(0).alias("positive"))
+    positive = least_ids(known.filter("y = 1").select("id"), 5, POSITIVES).select("id", F.lit(1).alias("positive"))
+    ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").filter(folds(F.col("id")) != 0)
+    unlabelled = least_ids(ids, 6, UNLABELLED).select("id", F.lit(0).alias("positive"))
     picked = F.broadcast(positive.unionByName(unlabelled))  # POSITIVES + UNLABELLED ids at most
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(picked, "id")
     texts = durable(texts.select("text", "positive"), "sample")
@@ -203,9 +212,10 @@ def score(docs: DataFrame, classifier: Classifier, text_col: str = "text") -> Da
     weights, bias = classifier.weights, classifier.bias
 
     @F.pandas_udf("double")
-    def run(text):
-        model = Classifier(weights, bias)
-        return text.map(model.score).astype("float64")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = Classifier(weights, bias)  # one for each task: it remembers the words that it has seen
+        for text in texts:
+            yield text.map(model.score).astype("float64")
 
     return packed.select("row", run("text").alias("score"))
 
