@@ -15,7 +15,9 @@ windows one by one into a second round, where equal windows meet.  Both rounds
 together find exactly the windows that start in an earlier document too.
 
 Blocks and windows travel packed: one binary of arrays for each batch and bin.
-Spans travel as plain rows, as many as there are.  A bin's share is bounded by
+Spans travel as plain rows, as many as there are.  Where they are ``traced`` a span
+names the document and place that its words first stand in, and windows are told
+apart by 128 bits of hash instead of 64.  A bin's share is bounded by
 the number of bins, which grows with the input.
 """
 
@@ -192,21 +194,29 @@ SPANS, ASKED, WINDOWS = 1, 2, 3
 #: doc and text_key name a row; text_key is 0 throughout unless ids repeat.  A block's hash has 48 bits: it need only tell apart blocks of one key.
 BLOCK = {"lead": "<u8", "key": "<u8", "hash": "<u4", "hash2": "<u2", "doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u2", "left": "<u2", "right": "<u2"}
 WINDOW = {"hash": "<u8", "doc": "<i8", "text_key": "<u8", "first": "<u4"}
+TRACED_WINDOW = {**WINDOW, "more": "<u8"}
 #: Tokens or, while asked for, windows from ``first`` on.
 SPAN = {"doc": "<i8", "text_key": "<u8", "first": "<u4", "count": "<u4"}
 #: Spans as rows: ``bin`` is the home of the document, ``name`` its text_key, ``place`` first * 2**32 + count.
 SPAN_ROWS = "kind int, bin int, doc long, name long, place long"
+#: Besides, in ``traced`` spans: the least document that has the same tokens, and the first of them there.
+TRACE = ", source long, origin long"
 
 
-def span_table(kind: int, spans: dict[str, np.ndarray], bins: int) -> pa.Table:
+def span_table(kind: int, spans: dict[str, np.ndarray], bins: int, traced: bool) -> pa.Table:
     place = (spans["first"].astype("i8") << 32) | spans["count"].astype("i8")
     columns = [np.full(len(place), kind, "i4"), (spans["doc"] % bins).astype("i4"), spans["doc"], spans["text_key"].view("i8"), place]
-    return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "bin", "doc", "name", "place"])
+    names = ["kind", "bin", "doc", "name", "place"]
+    if traced:
+        columns += [spans["source"].astype("i8"), spans["origin"].astype("i8")]
+        names += ["source", "origin"]
+    return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
 
 
 def spans_of(table: pa.Table) -> dict[str, np.ndarray]:
     place = table["place"].to_numpy()
-    return {"doc": table["doc"].to_numpy(), "text_key": table["name"].to_numpy().view("u8"), "first": place >> 32, "count": place & 0xFFFFFFFF}
+    out = {"doc": table["doc"].to_numpy(), "text_key": table["name"].to_numpy().view("u8"), "first": place >> 32, "count": place & 0xFFFFFFFF}
+    return out | {c: table[c].to_numpy() for c in ("source", "origin") if c in table.column_names}
 
 
 def n_bins(docs: DataFrame) -> int:
@@ -285,12 +295,9 @@ def runs_of(*columns: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def least_of(run: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """The least document of each row's run."""
-    if not len(run):
-        return doc
-    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
-    return np.minimum.reduceat(doc, starts)[run]
+def head_of(run: np.ndarray) -> np.ndarray:
+    """The place of the first row of each row's run: that of least document where rows are sorted by it last."""
+    return np.searchsorted(run, run, "left")
 
 
 def _disputed(anchor: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -304,10 +311,10 @@ def _disputed(anchor: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarr
     return out
 
 
-def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) -> DataFrame:
+def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable, traced: bool) -> DataFrame:
     """Spans of the blocks that an earlier document holds, and the blocks whose windows must be asked for.
 
-    ``order(arrays)`` sorts a bin's blocks by lead, key and hash.
+    ``order(arrays)`` sorts a bin's blocks by lead, key, hash and document.
     """
 
     def run(table):
@@ -317,9 +324,9 @@ def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) ->
         got = {k: x[by] for k, x in got.items()}
         anchor = runs_of(got["lead"], got["key"])
         block = runs_of(anchor, got["hash"])
-        first = least_of(block, got["doc"])
-        again = got["doc"] > first
-        out = {k: got[k] for k in SPAN}
+        head = head_of(block)
+        again = got["doc"] > got["doc"][head]
+        out = {k: got[k] for k in SPAN} | {"source": got["doc"][head], "origin": got["first"][head]}
         out["count"] = out["count"].astype("u4")
         spans = {k: x[again] for k, x in out.items()}
         spans["count"] = spans["count"] + np.uint32(width - 1)
@@ -329,9 +336,9 @@ def compare_blocks(blocks: DataFrame, width: int, bins: int, order: Callable) ->
         for side in ("left", "right"):
             mixed |= _disputed(anchor[holder], got[side][holder], got["doc"][holder])
         asked = {k: x[holder[mixed]] for k, x in out.items()}
-        return pa.concat_tables([span_table(SPANS, spans, bins), span_table(ASKED, asked, bins)])
+        return pa.concat_tables([span_table(SPANS, spans, bins, traced), span_table(ASKED, asked, bins, traced)])
 
-    return blocks.groupBy("bin").applyInArrow(run, SPAN_ROWS)
+    return blocks.groupBy("bin").applyInArrow(run, SPAN_ROWS + TRACE * traced)
 
 
 _DEALT_SCHEMA = pa.schema([("kind", pa.int32()), ("bin", pa.int32()), ("payload", pa.binary())])
@@ -352,12 +359,13 @@ def _of_rows(spans: dict[str, np.ndarray]) -> dict[tuple[int, int], np.ndarray]:
     return {(int(spans["doc"][p[0]]), int(spans["text_key"][p[0]])): p for p in parts}
 
 
-def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, width: int, named: bool, bins: int) -> DataFrame:
+def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, width: int, named: bool, bins: int, traced: bool) -> DataFrame:
     """Spans of the windows asked for that start in an earlier document too."""
+    window = TRACED_WINDOW if traced else WINDOW
 
     def show(left, right):
         asked = spans_of(right)
-        rows, got = _of_rows(asked), {k: [] for k in WINDOW}
+        rows, got = _of_rows(asked), {k: [] for k in window}
         docs_asked = {d for d, _ in rows}
         for doc, text in zip(left["doc"], left["text"]):
             if doc.as_py() not in docs_asked:
@@ -370,29 +378,41 @@ def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, widt
             place = stretches(asked["first"][at], asked["count"][at])
             tokens = tokens_of(np.frombuffer(data, "u1"))
             hashes = np.concatenate([_window_hashes(tokens, p, width) for p in np.array_split(place, 1 + len(place) // CHUNK)])
-            for k, x in zip(WINDOW, (hashes, np.full(len(place), doc.as_py(), "i8"), np.full(len(place), name, "u8"), place.astype("u4"))):
+            part = [hashes, np.full(len(place), doc.as_py(), "i8"), np.full(len(place), name, "u8"), place.astype("u4")]
+            if traced:
+                other = mix(tokens ^ np.uint64(_MULT))
+                part.append(np.concatenate([_window_hashes(other, p, width) for p in np.array_split(place, 1 + len(place) // CHUNK)]))
+            for k, x in zip(window, part):
                 got[k].append(x)
-        arrays = {k: np.concatenate(x) if x else np.zeros(0, WINDOW[k]) for k, x in got.items()}
+        arrays = {k: np.concatenate(x) if x else np.zeros(0, window[k]) for k, x in got.items()}
         at = (arrays["hash"] % np.uint64(max(1, bins // 4))).astype("i8")
         return pa.Table.from_batches(list(dealt(at, arrays, WINDOWS)), _DEALT_SCHEMA)
 
     def meet(table):
-        got = unpacked(table["payload"], **WINDOW)
-        by = np.lexsort((got["doc"], got["hash"]))
+        got = unpacked(table["payload"], **window)
+        more = got.pop("more", got["hash"])
+        by = np.lexsort((got["doc"], more, got["hash"]))
         got = {k: x[by] for k, x in got.items()}
-        again = got["doc"] > least_of(runs_of(got["hash"]), got["doc"])
+        head = head_of(runs_of(got["hash"], more[by]))
+        again = got["doc"] > got["doc"][head]
+        source, origin = got["doc"][head][again], got["first"][head][again].astype("i8")
         doc, name, first = (got[k][again] for k in ("doc", "text_key", "first"))
-        # Windows side by side become one span.
-        by = np.lexsort((first, name, doc))
-        doc, name, first = doc[by], name[by], first[by].astype("i8")
-        start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]) | (first[1:] - first[:-1] > width)][: len(doc)])
+        first = first.astype("i8")
+        # Windows side by side become one span; a traced one ends where its source leaves its course.
+        apart = (source, first - origin) if traced else ()
+        by = np.lexsort((first, *reversed(apart), name, doc))
+        doc, name, first, source, origin = (x[by] for x in (doc, name, first, source, origin))
+        new = (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]) | (first[1:] - first[:-1] > width)
+        for x in apart:
+            new |= x[by][1:] != x[by][:-1]
+        start = np.flatnonzero(np.r_[True, new][: len(doc)])
         last = np.r_[start[1:], len(doc)][: len(start)] - 1
         spans = {"doc": doc[start], "text_key": name[start], "first": first[start], "count": first[last] + width - first[start]}
-        return span_table(SPANS, spans, bins)
+        return span_table(SPANS, spans | {"source": source[start], "origin": origin[start]}, bins, traced)
 
     asked = found.filter(f"kind = {ASKED}").withColumn("home", F.col("bin"))
     shown = docs.groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(show, DEALT)
-    return shown.groupBy("bin").applyInArrow(meet, SPAN_ROWS)
+    return shown.groupBy("bin").applyInArrow(meet, SPAN_ROWS + TRACE * traced)
 
 
 def _window_hashes(tokens: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
@@ -414,21 +434,20 @@ def covered(n: int, first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, named: bool, make: Callable, fields: str) -> DataFrame:
-    """``make(rows)`` of each bin's rows (doc, bytes, firsts, counts): a table of results."""
+    """``make(rows)`` of each bin's rows (doc, bytes, arrays of their spans): a table of results."""
 
     def run(left, right):
         got = spans_of(right)
         rows = _of_rows(got)
+        arrays = {k: x for k, x in got.items() if k not in ("doc", "text_key")}
         none = np.zeros(0, "i8")
 
         def each():
             for doc, text in zip(left["doc"], left["text"]):
                 data = encoded(text)
                 at = rows.get((doc.as_py(), xxhash.xxh3_64_intdigest(data) if named else 0))
-                if at is None or not doc.is_valid:
-                    yield doc.as_py(), data, none, none
-                else:
-                    yield doc.as_py(), data, got["first"][at], got["count"][at]
+                some = at is not None and doc.is_valid
+                yield doc.as_py(), data, {k: x[at] if some else none for k, x in arrays.items()}
 
         return make(each())
 
@@ -436,11 +455,13 @@ def apply_spans(docs: DataFrame, spans: DataFrame, named: bool, make: Callable,
     return docs.groupBy("home").cogroup(homes.groupBy("home")).applyInArrow(run, fields)
 
 
-def repeated(docs: DataFrame, id_col: str, text_col: str, tokens_of: Callable, width: int, gram: int, order: Callable, lead_of=None, bin_of=None) -> tuple[DataFrame, DataFrame, bool]:
+def repeated(
+    docs: DataFrame, id_col: str, text_col: str, tokens_of: Callable, width: int, gram: int, order: Callable, lead_of=None, bin_of=None, traced: bool = False
+) -> tuple[DataFrame, DataFrame, bool]:
     """The prepared rows, the spans of their repeats and whether rows are named by text too."""
     bins, named = n_bins(docs), ids_repeat(docs, id_col)
     rows = prepared(docs, id_col, text_col, bins)
     blocks = scan_blocks(rows, tokens_of, width, gram, named, bins, lead_of, bin_of)
-    found = durable(compare_blocks(blocks, width, bins, order), "repeats")
-    spans = found.filter(f"kind = {SPANS}").unionByName(compare_windows(rows, found, tokens_of, width, named, bins))
+    found = durable(compare_blocks(blocks, width, bins, order, traced), "repeats")
+    spans = found.filter(f"kind = {SPANS}").unionByName(compare_windows(rows, found, tokens_of, width, named, bins, traced))
     return rows, spans, named

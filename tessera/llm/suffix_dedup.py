@@ -69,20 +69,26 @@ def _sorted(blocks: dict[str, np.ndarray]) -> np.ndarray:
 
 def sampled_splitters(docs: DataFrame, id_col: str, text_col: str, width: int, bins: int) -> np.ndarray:
     """Leading values that cut the suffixes into ``bins`` buckets or fewer, from a bounded sample of documents."""
-    some = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    picked = some.select("doc").orderBy(F.xxhash64("doc"), "doc").limit(SAMPLE_DOCS)
-    some = some.join(F.broadcast(picked.distinct()), "doc")
+    some = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("doc is not null")
+    # A threshold from a count lets about SAMPLE_DOCS through.
+    level = min(1 << 30, -(-SAMPLE_DOCS * (1 << 30) // max(1, docs.count())))
+    some = some.filter(F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) < level).limit(2 * SAMPLE_DOCS)
 
     def run(batches):
         for batch in batches:
             for text in batch.column("text"):
-                raw = np.frombuffer(repeats.encoded(text), "u1")[: 16 * repeats.CHUNK]
-                at, _, _, key, *_ = repeats.blocks_of(repeats.byte_values(raw), width, GRAM)
+                raw = np.frombuffer(repeats.encoded(text), "u1")
+                at, key = [], []
+                for a, b, _, _ in repeats.segments(len(raw), width):
+                    place, _, _, hashes, *_ = repeats.blocks_of(repeats.byte_values(raw[a:b]), width, GRAM)
+                    least = np.argsort(hashes)[:SAMPLE_EACH]
+                    at, key = [*at, place[least] + a], [*key, hashes[least]]
+                at, key = np.concatenate(at), np.concatenate(key)
                 if len(at):
                     least = at[np.argsort(key)[:SAMPLE_EACH]]
                     yield pa.record_batch([pa.array(leading(raw, least)[0].view("i8"))], names=["lead"])
 
-    got = np.sort(np.array([r[0] for r in some.mapInArrow(run, "lead long").limit(SAMPLE_DOCS * SAMPLE_EACH).collect()], "i8").view("u8"))
+    got = np.sort(np.array([r[0] for r in some.mapInArrow(run, "lead long").collect()], "i8").view("u8"))
     cuts = got[np.arange(1, bins) * len(got) // bins] if len(got) else got
     return np.unique(cuts)
 
@@ -102,10 +108,10 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def make(each):
         out = [[] for _ in names]
-        for doc, data, first, count in each:
+        for doc, data, spans in each:
             runs, kept = [], data
-            if len(first):
-                gone = repeats.covered(len(data), first, count)
+            if len(spans["first"]):
+                gone = repeats.covered(len(data), spans["first"], spans["count"])
                 turn = np.flatnonzero(np.diff(np.r_[False, gone, False].astype("i1")))
                 runs = list(zip(turn[::2].tolist(), turn[1::2].tolist()))
                 kept = np.frombuffer(data, "u1")[~gone].tobytes()
