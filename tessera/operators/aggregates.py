@@ -125,17 +125,19 @@ def signs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def probe(df: DataFrame, keys: list[str], known: Column, id_col: str, samples: int = 5) -> DataFrame:
     """Rows fetched, new and known, and the first ids that are new."""
     df = df.withColumn("_known", known)
-    rn = F.row_number().over(Window.partitionBy(*keys, "_known").orderBy(id_col))
-    shown = F.when(~F.col("_known") & (F.col("_rn") <= samples), F.col(id_col))
-    return df.withColumn("_rn", rn).groupBy(*keys).agg(
-        F.count("*").alias("fetched"), F.count_if(~F.col("_known")).alias("net_new"), F.count_if("_known").alias("overlap"),
-        F.array_sort(F.collect_list(shown)).alias("samples"),  # ``samples`` ids at most
-    )
+    counts = df.groupBy(*keys).agg(F.count("*").alias("fetched"), F.count_if(~F.col("_known")).alias("net_new"), F.count_if("_known").alias("overlap"))
+    # Each part of a key finds its own first ids, so a key with most rows isn't one task's.
+    part = F.pmod(F.xxhash64(id_col), F.lit(64))
+    fresh = df.filter(~F.col("_known")).withColumn("_part", part)
+    for by in ([*keys, "_part"], keys):
+        fresh = fresh.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(id_col))).filter(F.col("_rn") <= samples)
+    shown = fresh.groupBy(*keys).agg(F.array_sort(F.collect_list(id_col)).alias("samples"))  # ``samples`` ids at most
+    return counts.join(shown, keys, "left").withColumn("samples", F.coalesce("samples", F.array()))
 
 
 def merged_stats(df: DataFrame, sums: list[str], flags: list[str], sets: list[str]) -> DataFrame:
     """Counters summed, flags or-ed, lists united."""
-    union = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(s)))).alias(s) for s in sets]
+    union = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(s)))).alias(s) for s in sets]
     return df.agg(*[F.sum(s).alias(s) for s in sums], *[F.bool_or(f).alias(f) for f in flags], *union)
 
 

@@ -61,7 +61,8 @@ def kept_since(df: DataFrame, day: str, cutoff: str) -> DataFrame:
 
 def snapshots(df: DataFrame, day: str, keep: int = 8) -> DataFrame:
     """The rows of the last ``keep`` days that there are."""
-    return df.withColumn("_d", F.dense_rank().over(Window.orderBy(F.desc(day)))).filter(F.col("_d") <= keep).drop("_d")
+    days = df.select(day).distinct().orderBy(F.desc(day)).limit(keep)
+    return df.join(F.broadcast(days), day, "left_semi")  # ``keep`` rows
 
 
 def reclaimed(queue: DataFrame, status: str, leased: str, cutoff: Column) -> DataFrame:

@@ -78,3 +78,13 @@ def near_pairs(a: DataFrame, b: DataFrame, key: str, score_a: str, score_b: str,
     """Whether each adversarial row's score comes within ``margin`` of its partner's and reaches ``least``."""
     rows = a.join(b, key)
     return rows.withColumn("near", ((F.col(score_a) - F.col(score_b)) <= margin) & (F.col(score_a) >= least))
+
+
+def gate_pairs(df: DataFrame, score: str, good: Column, tops: list[float], alsos: list[float]) -> DataFrame:
+    """For every pair of gates the rows at the top one, between the two, and the good ones at the top.  One pass."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("top"), F.lit(float(a)).alias("also")) for t in tops for a in alsos]))
+    rows = df.select(F.col(score).alias("_s"), good.alias("_good"), pairs.alias("_g")).select("_s", "_good", "_g.*")
+    at_top = F.col("_s") >= F.col("top")
+    return rows.groupBy("top", "also").agg(
+        F.count_if(at_top).alias("n_top"), F.count_if((F.col("_s") >= F.col("also")) & ~at_top).alias("n_also"), F.count_if(at_top & F.col("_good")).alias("good_top")
+    )

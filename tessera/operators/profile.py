@@ -36,13 +36,12 @@ def enriched(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("segment", F.when(relevant, "brief-relevant").otherwise("everything-else")).drop("_low", "_plain")
 
 
-def tools_of_hosts(df: DataFrame, host: str, table: DataFrame) -> DataFrame:
-    """The tool of a host by its exact domain, else by a parent domain; ``table`` (domain, tool) is a small dimension."""
+def tools_of_hosts(df: DataFrame, host: str, tools: dict[str, str]) -> DataFrame:
+    """Adds the tool of a host by its exact domain, else by the nearest parent domain."""
     parts = F.split(F.col(host), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    rows = df.select("*", F.posexplode(suffixes).alias("_pos", "_domain"))
-    hit = rows.join(table.select(F.col("domain").alias("_domain"), "tool"), "_domain", "left")
-    return hit.groupBy(*df.columns).agg(F.min_by("tool", F.when(F.col("tool").isNotNull(), F.col("_pos"))).alias("tool"))
+    table = F.create_map(*[F.lit(x) for kv in tools.items() for x in kv])
+    return df.withColumn("tool", F.get(F.array_compact(F.transform(suffixes, lambda d: F.try_element_at(table, d))), F.lit(0)))
 
 
 def clusters_for(n: int) -> int:

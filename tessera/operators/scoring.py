@@ -110,10 +110,10 @@ def legacy_score(base_: Column, fit: Column, boost: Column, tracked: Column, lea
     return scalars.clamp(F.when(low_reach, F.least(total, F.lit(70.0))).otherwise(total), 0.0, 100.0)
 
 
-def selected(df: DataFrame, order: list[Column], author: str, cap: int = 2, top_gate=fixed.TOP_GATE, also_gate=fixed.ALSO_GATE, max_top=fixed.MAX_TOP, max_also=fixed.MAX_ALSO) -> DataFrame:
+def selected(df: DataFrame, order: list[Column], author: str, cap: int = 2, top_gate=fixed.TOP_GATE, also_gate=fixed.ALSO_GATE, max_top=fixed.MAX_TOP, max_also=fixed.MAX_ALSO, key: str | None = None) -> DataFrame:
     """Forced distribution, author cap, gates and slots over scored rows."""
-    df = windows.forced_distribution(df, "final", order, "final")
-    return windows.gated_slots(df, "final", order, top_gate, also_gate, max_top, max_also, author, cap)
+    df = windows.forced_distribution(df, "final", order, "final", key)
+    return windows.gated_slots(df, "final", order, top_gate, also_gate, max_top, max_also, author, cap, key)
 
 
 def fused(keyword: Column, embed: Column, mean: Column) -> Column:

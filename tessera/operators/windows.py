@@ -5,23 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def forced_distribution(df: DataFrame, score: str, order: list[Column], out: str = "final") -> DataFrame:
-    """Only the first row keeps 100 or more (others get 99) and only the first two 90 or more (others get 89)."""
-    rn = F.row_number().over(Window.orderBy(*order))
+def forced_distribution(df: DataFrame, score: str, order: list[Column], out: str = "final", key: str | None = None) -> DataFrame:
+    """Only the first row keeps 100 or more (others get 99) and only the first two 90 or more (others get 89).
+
+    With ``key``, which names a row, the first two are found by a limit and no
+    task sees the whole order.
+    """
     f = F.col(score)
-    return df.withColumn("_rn", rn).withColumn(
-        out, F.when((f >= 90) & (F.col("_rn") > 2), 89).when((f >= 100) & (F.col("_rn") > 1), 99).otherwise(f)
-    ).drop("_rn")
+    if key is None:
+        df = df.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+    else:
+        first = df.orderBy(*order).limit(2).withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+        df = df.join(F.broadcast(first.select(F.col(key).alias("_key"), "_rn")), F.col(key) == F.col("_key"), "left").drop("_key")  # two rows
+    rn = F.coalesce("_rn", F.lit(3))
+    return df.withColumn(out, F.when((f >= 90) & (rn > 2), 89).when((f >= 100) & (rn > 1), 99).otherwise(f)).drop("_rn")
 
 
 def gated_slots(
     df: DataFrame, score: str, order: list[Column], top_gate: float, also_gate: float, max_top: int, max_also: int,
-    author: str | None = None, cap: Column | int | None = None,
+    author: str | None = None, cap: Column | int | None = None, key: str | None = None,
 ) -> DataFrame:
     """Adds ``slot``: top, also or null, and with a cap how many rows of an author may be placed.
 
     Rows below ``also_gate`` drop; the first ``max_top`` at ``top_gate`` are top, the
     next ones also, up to ``max_also``.  Rows without an author aren't capped.
+    With ``key``, which names a row, slots are found by limits and no task sees
+    the whole order.
     """
     if also_gate > top_gate:
         raise ValueError("the gate of also must not lie above that of top")
@@ -34,9 +43,20 @@ def gated_slots(
         df = df.withColumn("_kept", F.col("_fit"))
     running = lambda c: F.sum(c.cast("int")).over(w)
     high = F.col("_kept") & (F.col(score) >= top_gate)
-    df = df.withColumn("_top", high & (running(high) <= max_top))
-    other = F.col("_kept") & ~F.col("_top")
-    df = df.withColumn("_also", other & (running(other) <= max_also))
+
+    def first(rows: DataFrame, n: int, flag: str) -> DataFrame:
+        return F.broadcast(rows.orderBy(*order).limit(n).select(F.col(key).alias("_key"), F.lit(True).alias(flag)))  # n rows
+
+    def flagged(rows: DataFrame, found: DataFrame, flag: str) -> DataFrame:
+        return rows.join(found, F.col(key) == F.col("_key"), "left").drop("_key").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+    if key is None:
+        df = df.withColumn("_top", high & (running(high) <= max_top))
+        other = F.col("_kept") & ~F.col("_top")
+        df = df.withColumn("_also", other & (running(other) <= max_also))
+    else:
+        df = flagged(df, first(df.filter(high), max_top, "_top"), "_top")
+        df = flagged(df, first(df.filter(F.col("_kept") & ~F.col("_top")), max_also, "_also"), "_also")
     slot = F.when(F.col("_top"), "top").when(F.col("_also"), "also")
     reason = F.when(slot.isNotNull(), None).when(F.col("_fit") & ~F.col("_kept"), "author_cap").otherwise("below_gate_or_cap")
     return df.withColumn("slot", slot).withColumn("dropped", reason).drop("_fit", "_kept", "_top", "_also")

@@ -1,6 +1,6 @@
 """All queries of the library's own operators."""
 
-from . import ranking, registry, relational, text  # noqa: F401
+from . import checks, curation, ranking, registry, relational, text, wording  # noqa: F401
 
 
 def queries() -> dict:

@@ -28,7 +28,7 @@ def _order():
 @query(f"""WITH {POOL}, r AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS rn FROM pool)
     SELECT id, CASE WHEN score >= 90 AND rn > 2 THEN 89 WHEN score >= 100 AND rn > 1 THEN 99 ELSE score END AS final FROM r""")
 def forced_distribution(t):
-    return windows.forced_distribution(_pool(t), "score", _order()).select("id", F.col("final").cast("long").alias("final"))
+    return windows.forced_distribution(_pool(t), "score", _order(), key="id").select("id", F.col("final").cast("long").alias("final"))
 
 
 SLOTS = """e AS (SELECT *, score >= 50 AS fit FROM pool), {kept},
@@ -41,13 +41,13 @@ SLOTS = """e AS (SELECT *, score >= 50 AS fit FROM pool), {kept},
 
 @query("WITH " + POOL + ", " + SLOTS.format(kept="k AS (SELECT *, fit AS kept FROM e)"))
 def gated_slots(t):
-    return windows.gated_slots(_pool(t), "score", _order(), 58, 50, 5, 3).select("id", "slot", "dropped")
+    return windows.gated_slots(_pool(t), "score", _order(), 58, 50, 5, 3, key="id").select("id", "slot", "dropped")
 
 
 @query("WITH " + POOL + ", " + SLOTS.format(kept="""k AS (SELECT *, fit AND (author IS NULL
     OR sum(CAST(fit AS INT)) OVER (PARTITION BY author ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) <= 1) AS kept FROM e)"""))
 def author_cap(t):
-    return windows.gated_slots(_pool(t), "score", _order(), 58, 50, 5, 3, "author", 1).select("id", "slot", "dropped")
+    return windows.gated_slots(_pool(t), "score", _order(), 58, 50, 5, 3, "author", 1, key="id").select("id", "slot", "dropped")
 
 
 @query("""SELECT user_id, CAST(round_even(least(6 * log10(1 + n), CASE WHEN user_id % 2 = 0 THEN 15 ELSE 10 END), 0) AS INT) AS points
@@ -149,7 +149,7 @@ def select_brief(t):
     order = [F.desc("_score"), F.desc("n_chars"), F.asc("doc_id")]
     # The order is that of the score before the distribution; what the distribution lowers stays in place.
     rows = _scored(t).withColumn("_score", F.col("final"))
-    got = scoring.selected(rows, order, "source")
+    got = scoring.selected(rows, order, "source", key="doc_id")
     return got.filter("slot is not null").select("doc_id", "final", "slot")
 
 
@@ -167,7 +167,8 @@ def fused_affinity(t):
     keyword = scoring.keyword_affinity(F.col("event_id") % 10 / 10, F.col("user_id") % 4 / 4, F.lit(0.0), F.lit(0.0), F.lit(True))
     embed = F.when(F.col("event_id") % 5 != 0, F.col("value") / 100)
     rows = t("events").select("event_id", keyword.alias("k"), embed.alias("e"))
-    return rows.select("event_id", F.round(scoring.fused(F.col("k"), F.col("e"), F.avg("e").over(Window.partitionBy(F.lit(0)))), 6).alias("fused"))
+    rows = rows.crossJoin(rows.agg(F.avg("e").alias("mean")))  # one row
+    return rows.select("event_id", F.round(scoring.fused(F.col("k"), F.col("e"), F.col("mean")), 6).alias("fused"))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -239,15 +240,8 @@ def what_if_bands(t):
     return agg.what_if(_pool(t), "score", "topic", [(40, 50), (50, 60), (20, 90)])
 
 
-@query("SELECT user_id FROM events WHERE user_id < 40 GROUP BY user_id HAVING max(CASE WHEN user_id % 5 = 0 THEN 0 ELSE value END) = 0")
+@query("SELECT user_id FROM events GROUP BY user_id HAVING max(CASE WHEN user_id % 5 = 0 THEN 0 ELSE value END) = 0")
 def silent_sources(t):
-    rows = t("events").filter("user_id < 40").withColumn("score", F.when(F.col("user_id") % 5 == 0, 0.0).otherwise(F.col("value")))
-    return agg.silent_sources(rows, "user_id", "score")
-
-
-@query()
-def silent_sources_whole(t):
-    """Over all users; the SQL above has some ids only."""
     rows = t("events").withColumn("score", F.when(F.col("user_id") % 5 == 0, 0.0).otherwise(F.col("value")))
     return agg.silent_sources(rows, "user_id", "score")
 
@@ -441,15 +435,10 @@ def enqueue_decisions(t):
     return dml.enqueue_decision(items, _queue(t), "id", F.col("n_chars") > 3000, 2).select("doc_id", "decision")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id < 700")
+@query("""WITH d AS (SELECT doc_id, coalesce(doc_id % 3, 0) AS third FROM documents) SELECT doc_id FROM d WHERE third <> 0
+    UNION ALL SELECT doc_id FROM d WHERE third <> 1 AND doc_id NOT IN (SELECT doc_id FROM d WHERE third <> 0)""")
 def inserted_if_absent(t):
-    docs = t("documents").select("doc_id")
-    return dml.inserted_if_absent(docs.filter("doc_id < 500"), docs.filter("doc_id between 300 and 699"), "doc_id")
-
-
-@query()
-def inserted_if_absent_whole(t):
-    """Two thirds of all documents, then two thirds of which half are there; the SQL above has some ids only."""
+    """Two thirds of all documents, then two thirds of which half are there."""
     docs, third = t("documents").select("doc_id"), F.coalesce(F.pmod("doc_id", F.lit(3)), F.lit(0))
     return dml.inserted_if_absent(docs.filter(third != 0), docs.filter(third != 1), "doc_id")
 
@@ -561,7 +550,8 @@ def baseline_flips(t):
     return ev.flips(t("customer"), "c_acctbal", [100, 500, 2000])
 
 
-@query("SELECT true AS same_set, false AS identical")
+@query("""WITH t AS (SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20), r AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS a, row_number() OVER (ORDER BY doc_id) AS b FROM t)
+    SELECT (SELECT count(*) FROM r x SEMI JOIN r y USING (doc_id)) = count(*) AS same_set, bool_and(a = b) AS identical FROM r""")
 def selection_parity(t):
     top = t("documents").orderBy(F.desc("n_chars"), "doc_id").limit(20)
     a = top.withColumn("at", F.row_number().over(Window.orderBy(F.desc("n_chars"), "doc_id")))

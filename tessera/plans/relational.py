@@ -134,23 +134,15 @@ def missing_and_extra(t):
     return rel.missing_and_extra(some("error"), some("signup"), "user_id")
 
 
-@query("""SELECT doc_id, '"' || doc_id || '","' || replace(source, '"', '""') || '","' || replace(substr(text, 1, 40), '"', '""') || '"' AS line
+@query("""SELECT doc_id, '"' || doc_id || '","' || replace(source, '"', '""') || '","' || replace(coalesce(text, ''), '"', '""') || '"' AS line
     FROM documents""")
 def csv_lines(t):
-    docs = t("documents").withColumn("head", F.substring("text", 1, 40))
-    return sinks.csv_lines(docs, ["doc_id", "source", "head"]).select("doc_id", "line")
+    return sinks.csv_lines(t("documents"), ["doc_id", "source", "text"]).select("doc_id", "line")
 
 
 @query("""SELECT lang AS "key", count(*) AS n, string_agg(line, chr(10) ORDER BY line) AS page
-    FROM (SELECT lang, '- ' || source || '/' || doc_id AS line FROM documents WHERE doc_id < 100) GROUP BY lang""")
+    FROM (SELECT lang, '- ' || source || '/' || doc_id AS line FROM documents) GROUP BY lang""")
 def index_pages(t):
-    docs = t("documents").filter("doc_id < 100").select(F.array("lang").alias("keys"), F.concat(F.lit("- "), "source", F.lit("/"), "doc_id").alias("line"))
-    return sinks.index_page(docs, "keys", "line")
-
-
-@query()
-def index_pages_whole(t):
-    """Over all documents; the SQL above has some ids only."""
     docs = t("documents").select(F.array("lang").alias("keys"), F.concat(F.lit("- "), "source", F.lit("/"), "doc_id").alias("line"))
     return sinks.index_page(docs, "keys", "line")
 

@@ -144,23 +144,9 @@ def canonical_urls(t):
     return rows.select("page_id", "canonical", "url_hash", F.col("rank").cast("long").alias("rank"))
 
 
-FNV = """list_min(list_transform(toks, lambda w: list_reduce(list_prepend(2166136261::UBIGINT,
-    list_transform(string_split(CAST(s AS VARCHAR) || ':' || w, ''), lambda ch: ascii(ch)::UBIGINT)), lambda h, x: (xor(h, x) * 16777619::UBIGINT) & 4294967295::UBIGINT)))"""
-TITLES = """(SELECT doc_id, list_distinct(regexp_extract_all(replace(replace(translate(lower(substr(text, 1, 40)), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ',
-    'aaaaaaceeeeiiiinooooouuuuyy'), '''', ''), '’', ''), '([a-z0-9]+)', 1)) AS toks FROM documents WHERE doc_id < 400)"""
-
-
-@query(f"""SELECT doc_id, array_to_string(list_transform(range(0, 8), lambda s: CAST({FNV} AS VARCHAR)), '.') AS signature
-    FROM {TITLES} WHERE len(toks) > 0""")
-def minhash_signatures(t):
-    titles = t("documents").filter("doc_id < 400").select("doc_id", F.substring("text", 1, 40).alias("title"))
-    rows = dedup.signatures(titles, "title", 8).filter("signature is not null")
-    return rows.select("doc_id", F.array_join(F.transform("signature", lambda x: x.cast("string")), ".").alias("signature"))
-
-
 @query()
-def minhash_signatures_whole(t):
-    """The signatures of all documents over their whole texts; the SQL above has some ids' beginnings only."""
+def minhash_signatures(t):
+    """The signatures of all documents over their whole texts."""
     rows = dedup.signatures(t("documents").select("doc_id", "text"), "text", 8).filter("signature is not null")
     return rows.select("doc_id", F.array_join(F.transform("signature", lambda x: x.cast("string")), ".").alias("signature"))
 
@@ -174,12 +160,12 @@ def minhash_pairs(t):
 @query()
 def seen_before(t):
     titles = t("pages").select("page_id", "url", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"))
-    rows = dedup.signatures(dedup.by_url(titles, "url", [F.asc("page_id")]), "title", 32)
+    rows = dedup.signatures(dedup.by_url(titles, "url", [F.asc("page_id")]), "title")
     rows = rows.withColumn("day", F.pmod(F.floor(F.col("page_id") / 2), F.lit(5)))
     return dedup.check_seen(rows.filter("page_id % 2 = 1"), rows.filter("page_id % 2 = 0"), "page_id", "day", "url_hash", "signature")
 
 
-SIGNIFICANT = f"""(SELECT doc_id, list_filter(regexp_extract_all(regexp_replace(regexp_replace(lower(substr(text, 1, 200)), 'https?://\\S+', ' ', 'g'), '@\\w+', ' ', 'g'), '([a-z0-9]+)', 1),
+SIGNIFICANT = f"""(SELECT doc_id, list_filter(regexp_extract_all(regexp_replace(regexp_replace(lower(coalesce(text, '')), 'https?://\\S+', ' ', 'g'), '@\\w+', ' ', 'g'), '([a-z0-9]+)', 1),
     lambda w: w NOT IN ({_words(fixed.EVENT_STOP_WORDS)}) AND NOT regexp_full_match(w, '[0-9]+')) AS w FROM documents)"""
 GRAMS = f"""grams AS (SELECT DISTINCT doc_id, w[i] AS a, w[i + 1] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM {SIGNIFICANT})),
     g AS (SELECT *, a IN ({_words(fixed.GENERIC_WORDS)}) AS ga, b IN ({_words(fixed.GENERIC_WORDS)}) AS gb FROM grams),
@@ -189,38 +175,21 @@ GRAMS = f"""grams AS (SELECT DISTINCT doc_id, w[i] AS a, w[i + 1] AS b FROM (SEL
 
 @query(f"WITH {GRAMS} SELECT doc_id, count(*) AS n, count(*) FILTER (strong) AS strong FROM kept GROUP BY doc_id")
 def event_bigrams(t):
-    rows = t("documents").select("doc_id", F.explode(scalars.distinctive_bigrams(F.substring("text", 1, 200))).alias("g"))
+    rows = t("documents").select("doc_id", F.explode(scalars.distinctive_bigrams(F.coalesce("text", F.lit("")))).alias("g"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if("g.strong").alias("strong"))
 
 
-@query(f"""WITH RECURSIVE {GRAMS}, heads AS (SELECT gram, min(doc_id) AS a FROM kept WHERE strong GROUP BY gram),
-    e AS (SELECT DISTINCT a, doc_id AS b FROM kept JOIN heads USING (gram) WHERE strong AND a <> doc_id),
-    links AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-    reach(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT links.b, reach.r FROM reach JOIN links ON links.a = reach.id)
-    SELECT id AS doc_id, min(r) AS "group" FROM reach GROUP BY id""")
-def event_groups(t):
-    docs = t("documents").select("doc_id", F.substring("text", 1, 200).alias("head"))
-    return dedup.event_groups(docs, "doc_id", "head")
-
-
 @query()
-def event_bigrams_whole(t):
-    """The bigrams of whole texts; the SQL above has their first 200 characters only."""
-    rows = t("documents").select("doc_id", F.explode(scalars.distinctive_bigrams(F.col("text"))).alias("g"))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if("g.strong").alias("strong"))
-
-
-@query()
-def event_groups_whole(t):
-    """Events by the bigrams of whole texts."""
+def event_groups(t):
+    """Events by the bigrams of whole texts, strong and weak."""
     return dedup.event_groups(t("documents"), "doc_id", "text")
 
 
-@query("""WITH k AS (SELECT doc_id, n_chars, substr(text, 1, 25) AS k, 'u' || doc_id AS url FROM documents)
+@query("""WITH k AS (SELECT doc_id, n_chars, lower(substr(text, 1, 80)) AS k, 'u' || doc_id AS url FROM documents)
     SELECT doc_id, row_number() OVER w AS rank, CASE WHEN row_number() OVER w > 1 THEN first_value(url) OVER w END AS lost_to
     FROM k WINDOW w AS (PARTITION BY k ORDER BY n_chars DESC, doc_id)""")
 def event_winners(t):
-    rows = t("documents").select("doc_id", "n_chars", F.substring("text", 1, 25).alias("k"), F.concat(F.lit("u"), "doc_id").alias("url"))
+    rows = t("documents").select("doc_id", "n_chars", F.lower(F.substring("text", 1, 80)).alias("k"), F.concat(F.lit("u"), "doc_id").alias("url"))
     got = windows.winners(rows, "k", [F.desc("n_chars"), F.asc("doc_id")], "url")
     return got.select("doc_id", F.col("rank").cast("long").alias("rank"), "lost_to")
 
@@ -255,8 +224,7 @@ def enriched_documents(t):
     FROM (SELECT page_id, {HOST} AS h FROM pages)""")
 def tool_by_host(t):
     pages = t("pages").select("page_id", scalars.host_of(F.col("url")).alias("host"))
-    table = pages.sparkSession.createDataFrame([("example.com", "com"), ("example.org", "org")], "domain string, tool string")
-    return profile.tools_of_hosts(pages, "host", F.broadcast(table)).select("page_id", "tool")
+    return profile.tools_of_hosts(pages, "host", {"example.com": "com", "example.org": "org"}).select("page_id", "tool")
 
 
 @query("""SELECT conv_id, turn, len(w) < 4 OR length(array_to_string(w, ' ')) < 15 AS fragment FROM (SELECT conv_id, turn,

@@ -244,7 +244,7 @@ def whole(spark, tmp_path_factory):
 
 
 def test_signatures_of_whole_table(spark, whole):
-    got = {r.doc_id: r.signature for r in catalog.queries()["minhash_signatures_whole"](spark, whole[0]).collect()}
+    got = {r.doc_id: r.signature for r in catalog.queries()["minhash_signatures"](spark, whole[0]).collect()}
     want = {i: plain_signature(t, 8) for i, t in whole[1].items()}
     assert got == {i: ".".join(map(str, s)) for i, s in want.items() if s}
 
@@ -284,7 +284,7 @@ def test_events_of_whole_texts(spark, tmp_path):
     rows = [(700 + i, " ".join(w), "en", "s0", 0) for i, w in enumerate(texts)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     grams = {r[0]: plain_bigrams(r[1]) for r in rows}
-    got = catalog.queries()["event_bigrams_whole"](spark, str(tmp_path)).collect()
+    got = catalog.queries()["event_bigrams"](spark, str(tmp_path)).collect()
     assert {r.doc_id: (r.n, r.strong) for r in got} == {i: (len(g), sum(g.values())) for i, g in grams.items()}
     group = {i: i for i in grams}
     for a, b in combinations(sorted(grams), 2):
@@ -293,7 +293,7 @@ def test_events_of_whole_texts(spark, tmp_path):
             old, new = max(group[a], group[b]), min(group[a], group[b])
             group = {i: new if x == old else x for i, x in group.items()}
     assert group[701] == 700 and group[704] == 703 and group[705] == 705
-    got = catalog.queries()["event_groups_whole"](spark, str(tmp_path))
+    got = catalog.queries()["event_groups"](spark, str(tmp_path))
     assert {tuple(r) for r in got.select(*got.columns).collect()} == set(group.items())
 
 
@@ -328,10 +328,10 @@ def test_diversified_reads_the_whole_table(spark, tmp_path):
 
 def test_whole_tables_without_id_filters(spark, whole, tmp_path):
     path, _, rows = whole
-    got = [r.doc_id for r in catalog.queries()["inserted_if_absent_whole"](spark, path).collect()]
+    got = [r.doc_id for r in catalog.queries()["inserted_if_absent"](spark, path).collect()]
     assert sorted(got) == sorted(r[0] for r in rows) and max(got) >= 700
-    pages = {r.key: (r.n, r.page) for r in catalog.queries()["index_pages_whole"](spark, path).collect()}
+    pages = {r.key: (r.n, r.page) for r in catalog.queries()["index_pages"](spark, path).collect()}
     lines = {lang: sorted(f"- {r[3]}/{r[0]}" for r in rows if r[2] == lang) for lang in ("en", "de")}
     assert pages == {lang: (len(x), "\n".join(x)) for lang, x in lines.items()}
     spark.createDataFrame([(1, 3.0), (41, 0.0), (42, 1.0), (45, 9.0), (41, 0.0)], "user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
-    assert {r.user_id for r in catalog.queries()["silent_sources_whole"](spark, str(tmp_path)).collect()} == {41, 45}
+    assert {r.user_id for r in catalog.queries()["silent_sources"](spark, str(tmp_path)).collect()} == {41, 45}
