@@ -101,13 +101,18 @@ def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 def _mixed(rows: DataFrame, weights, max_repeat, share, seed) -> DataFrame:
     source, cell = ["src", "src_null"], ["src", "src_null", "size", "salt"]
-    counts = durable(rows.groupBy(*source, "size").agg(F.count("*").alias("n")), "sizes")
+    tie = [F.xxhash64("id", F.lit(seed + 1)), F.col("id")] + ([F.xxhash64("row")] if "row" in rows.columns else [])
+    rows = rows.withColumn("draw", F.xxhash64("id", F.lit(seed), tie[-1]))
+    # Texts are counted once for all sums, and once more only where whole rows are asked for.
+    narrow = durable(rows.drop("row"), "narrow")
+    rows = rows if "row" in rows.columns else narrow
+    counts = durable(narrow.groupBy(*source, "size").agg(F.count("*").alias("n")), "sizes")
     sizes = durable(counts.groupBy(*source).agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), "sources")
     # The largest cell sets how many parts each is dealt into; most parts of small ones stay empty.
     salts = max(1, -(-(counts.agg(F.max("n")).first()[0] or 1) // CELL_ROWS))
-    tie = [F.xxhash64("id", F.lit(seed + 1)), F.col("id")] + ([F.xxhash64("row")] if "row" in rows.columns else [])
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed), tie[-1]), F.lit(salts)))
-    counts = rows.groupBy(*cell).agg(F.count("*").alias("n")).withColumn("band", F.floor(F.col("size") / BAND))
+    salt = F.pmod("draw", F.lit(salts))
+    rows = rows.withColumn("salt", salt).drop("draw")
+    counts = narrow.withColumn("salt", salt).groupBy(*cell).agg(F.count("*").alias("n")).withColumn("band", F.floor(F.col("size") / BAND))
     band = [*source, "band"]
     inside = Window.partitionBy(*band).orderBy(F.desc("size"), "salt").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*source).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
