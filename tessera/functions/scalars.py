@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from . import fixed
+from . import fixed, stemming
 
 
 def words_in(values: list[str]) -> Column:
@@ -101,9 +101,8 @@ def wilson(successes: Column, trials: Column, z: float = 1.96) -> Column:
 
 
 def title_tokens(title: Column) -> Column:
-    """Distinct tokens of a title, accents of Latin letters folded."""
-    accented, plain = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-    text = F.translate(F.lower(title), accented, plain)
+    """Distinct tokens of a title in compatibility decomposition: an accent ends a token, as any character but letters and digits does."""
+    text = F.lower(stemming.decomposed(title))
     return F.array_distinct(F.regexp_extract_all(F.regexp_replace(text, "['’]", ""), F.lit("([a-z0-9]+)"), F.lit(1)))
 
 

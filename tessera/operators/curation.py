@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -113,24 +114,30 @@ def batches(df: DataFrame, order: str, size: int, parts: int) -> DataFrame:
     return ranged.withColumn("batch", F.concat_ws("-", F.col("_part"), F.floor(rn / size))).drop("_part")
 
 
-def applied(df: DataFrame, function, column: str, out: str, kind: str = "string") -> DataFrame:
+def applied(df: DataFrame, function, column: str, out: str, kind="string", single: bool = False) -> DataFrame:
     """Adds the result of an injected ``function(list) -> list`` over a column, batch by batch, and ``error`` where it raises.
 
-    A failed batch leaves its results null, to be tried again; a list of another length is an error.
+    A failed batch leaves its results null, to be tried again; a list of another
+    length is an error.  ``single`` gives it one row at a time, so that a row that
+    fails spoils no other.
     """
     columns = df.columns
 
+    def attempt(values):
+        try:
+            got = list(function(values))
+            if len(got) != len(values):
+                raise ValueError(f"{len(got)} results for {len(values)} rows")
+            return got, [None] * len(values)
+        except Exception as e:  # noqa: BLE001
+            return [None] * len(values), [str(e)] * len(values)
+
     def run(pdfs):
         for pdf in pdfs:
-            values, error = [None] * len(pdf), None
-            try:
-                got = list(function(pdf[column].tolist()))
-                if len(got) != len(pdf):
-                    raise ValueError(f"{len(got)} results for {len(pdf)} rows")
-                values = got
-            except Exception as e:  # noqa: BLE001
-                error = str(e)
-            yield pdf.assign(**{out: values, "error": error})[[*columns, out, "error"]]
+            values = pdf[column].tolist()
+            parts = [attempt([v]) for v in values] if single else [attempt(values)]
+            found, errors = [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
+            yield pdf.assign(**{out: pd.Series(found, pdf.index, dtype=object), "error": errors})[[*columns, out, "error"]]
 
     schema = StructType([*df.schema.fields]).add(out, kind).add("error", "string")
     return df.mapInPandas(run, schema)

@@ -88,3 +88,10 @@ def gate_pairs(df: DataFrame, score: str, good: Column, tops: list[float], alsos
     return rows.groupBy("top", "also").agg(
         F.count_if(at_top).alias("n_top"), F.count_if((F.col("_s") >= F.col("also")) & ~at_top).alias("n_also"), F.count_if(at_top & F.col("_good")).alias("good_top")
     )
+
+
+def roc_curve(df: DataFrame, positive: Column, score: Column) -> DataFrame:
+    """The points of :func:`roc` between the ends that no and every threshold stand for."""
+    points = roc(df, positive, score)
+    ends = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0), (float("-inf"), 1.0, 1.0)], "threshold double, tpr double, fpr double")
+    return points.select("threshold", "tpr", "fpr").unionByName(ends)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import fixed
+from ..functions import fixed, stemming
 
 K1, B = 1.2, 0.75
 
@@ -146,3 +146,28 @@ def without_vector(rows: DataFrame, vectors: DataFrame, id_col: str, model: str)
     """Rows that still lack a vector of the model."""
     return rows.join(vectors.filter(F.col("model") == model).select(id_col), id_col, "left_anti")
 
+
+
+def write_index(docs: DataFrame, id_col: str, columns: list[str], path: str, parts: int = 64) -> None:
+    """A stemming full-text index of several columns: postings in folders by a hash of the term, and the collection's counts.
+
+    One pass over the texts; a query reads the folders of its terms alone.
+    """
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    tokens = docs.select(F.col(id_col).alias("id"), stemming.stems(text).alias("t")).withColumn("dl", F.size("t"))
+    rows = tokens.select("id", "dl", F.explode("t").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
+    rows.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int")).write.mode("overwrite").partitionBy("part").parquet(f"{path}/postings")
+    tokens.agg(F.count("*").alias("n"), F.avg("dl").alias("avg")).write.mode("overwrite").parquet(f"{path}/counts")
+
+
+def search_index(spark, path: str, query: str, parts: int = 64) -> DataFrame:
+    """(id, rank): BM25 over a written index of the documents that hold a stem of the query."""
+    terms = sorted({stemming.stem(w) for w in _tokens(query)})
+    wanted = spark.createDataFrame([(t,) for t in terms], "term string").select("term", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int").alias("part"))
+    folders = [r["part"] for r in wanted.select("part").distinct().collect()]  # at most one a term
+    hits = spark.read.parquet(f"{path}/postings").filter(F.col("part").isin(folders) & F.col("term").isin(terms))
+    df_ = hits.groupBy("term").agg(F.count("*").alias("df"))
+    rows = hits.join(F.broadcast(df_), "term").join(F.broadcast(spark.read.parquet(f"{path}/counts")))  # a row a term, and one
+    idf = F.greatest(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avg")))
+    return rows.groupBy("id").agg(F.sum(part).alias("rank"))

@@ -1,12 +1,16 @@
 """Queries of retrieval, assignments, state, gathering, profiles, events and winners."""
 
+import uuid
+
 from pyspark.sql import Window, functions as F
 
-from ..functions import lists, scalars
-from ..operators import curation as c, search
+from ..functions import lists
+from ..operators import curation as c, evaluate as ev, graph, providers, search
+from ..sources import readers, sinks
+from . import registry
 from .registry import query
 from .text import BM25, COS, LEXICAL, QUERY, Q, TERMS, _vector
-from .wording import _sql_words as _list
+from .wording import FOREIGN, _sql_words as _list
 
 
 def _pick(column, values, by=1):
@@ -377,3 +381,102 @@ def newest_ids(t):
 def recency_order(t):
     at = F.coalesce(F.when(F.col("event_type") != "error", F.col("ts")), F.lit("2024-01-15").cast("timestamp_ntz"))
     return t("events").orderBy(F.desc(at), F.asc("event_id")).limit(60).select("event_id")
+
+
+# ---------------------------------------------------------------- injected functions, sources, sinks
+
+
+PLAIN = registry.ORACLE["scripts_and_languages"].replace(f"text || {_list(FOREIGN)}[doc_id % 10 + 1] AS f", "text AS f")
+
+
+@query(f"SELECT doc_id, CASE WHEN script IS NULL AND language IS NULL THEN text ELSE reverse(text) END AS shown FROM documents JOIN ({PLAIN}) USING (doc_id)")
+def translations(t):
+    return providers.translated(t("documents").select("doc_id", "text"), "text", lambda xs: [x[::-1] for x in xs], "shown").select("doc_id", "shown")
+
+
+@query("SELECT doc_id, CAST(len(string_split(coalesce(text, ''), ' ')) AS DOUBLE) AS a, CAST(length(coalesce(text, '')) AS DOUBLE) AS b FROM documents")
+def embedded_by_provider(t):
+    rows = t("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    got = providers.embedded(rows, "text", lambda xs: [[len(x.split(" ")), len(x)] for x in xs], 2)
+    return got.select("doc_id", F.col("vector")[0].alias("a"), F.col("vector")[1].alias("b"))
+
+
+@query("""WITH q AS (SELECT event_id AS id, CASE WHEN event_type = 'view' THEN 'pending' ELSE 'done' END AS status, CAST(user_id % 4 AS INT) AS attempts FROM events),
+    m AS (SELECT id FROM q WHERE status = 'pending' ORDER BY id LIMIT 40)
+    SELECT id, CASE WHEN m.id IS NULL THEN status WHEN id % 3 <> 0 THEN 'done' WHEN attempts + 1 >= 3 THEN 'error' ELSE 'pending' END AS status, CASE WHEN m.id IS NOT NULL AND id % 3 = 0 THEN attempts + 1 ELSE attempts END AS attempts,
+      CASE WHEN m.id IS NOT NULL AND id % 3 <> 0 THEN 'done ' || id END AS result FROM q LEFT JOIN m USING (id)""".replace("m.id IS NULL", "mine IS NULL").replace("m.id IS NOT NULL", "mine IS NOT NULL").replace("SELECT id FROM q WHERE", "SELECT id, true AS mine FROM q WHERE"))
+def drained_queue(t):
+    status = F.when(F.col("event_type") == "view", "pending").otherwise("done")
+    queue = t("events").select(F.col("event_id").alias("id"), status.alias("status"), (F.col("user_id") % 4).cast("int").alias("attempts"), F.lit(None).cast("string").alias("error"))
+
+    def work(xs):
+        if xs[0] % 3 == 0:
+            raise RuntimeError("timeout")
+        return [f"done {x}" for x in xs]
+
+    return providers.drained(queue, "id", "id", work, 40, "w1", "not found", 3).select("id", "status", "attempts", "result")
+
+
+@query()
+def indexed_search(t):
+    """Ranks from an index of stems over two columns, written and read again."""
+    docs = t("documents")
+    path = f"{graph.shared_folder(docs.sparkSession).rstrip('/')}/index-{uuid.uuid4().hex}"
+    search.write_index(docs, "doc_id", ["text", "source"], path)
+    return search.search_index(docs.sparkSession, path, QUERY).select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
+
+
+@query("""WITH ev AS (SELECT quality = 1 AS y, n_chars AS s FROM labels JOIN documents USING (doc_id)), k AS (SELECT s, count(*) FILTER (y) AS p, count(*) FILTER (NOT y) AS n FROM ev GROUP BY s)
+    SELECT CAST(s AS DOUBLE) AS threshold, round(sum(p) OVER w / sum(p) OVER (), 9) AS tpr, round(sum(n) OVER w / sum(n) OVER (), 9) AS fpr FROM k WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0 UNION ALL SELECT CAST('-inf' AS DOUBLE), 1, 1""")
+def roc_curve(t):
+    rows = t("labels").join(t("documents"), "doc_id").select((F.col("quality") == 1).alias("y"), F.col("n_chars").alias("s"))
+    return ev.roc_curve(rows, F.col("y"), F.col("s")).select("threshold", F.round("tpr", 9).alias("tpr"), F.round("fpr", 9).alias("fpr"))
+
+
+def _pages_of_timeline(t):
+    k = F.col("conv_id") * 100 + F.col("turn")
+    legacy = F.struct(F.col("text").alias("full_text"), F.col("role").alias("user_id_str"))
+    post = F.struct(F.lit("Tweet").alias("__typename"), k.cast("string").alias("rest_id"), legacy.alias("legacy"))
+    wrapped = F.when(F.col("turn") % 2 == 1, F.to_json(F.struct(F.lit("TweetWithVisibilityResults").alias("__typename"), post.alias("tweet")))).otherwise(F.to_json(post))
+    entry = F.concat(F.lit('{"content":{"entryType":"TimelineTimelineItem","itemContent":{"tweet_results":{"result":'), wrapped, F.lit("}}}}"))
+    pages = t("conversations").groupBy("conv_id").agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
+    bottom = F.concat(F.lit('{"content":{"entryType":"TimelineTimelineCursor","cursorType":"Bottom","value":"c'), "conv_id", F.lit('"}}'))
+    body = F.concat(F.lit('{"data":{"bookmark_timeline_v2":{"timeline":{"instructions":[{"type":"TimelineClear"},{"type":"TimelineAddEntries","entries":['), "entries", F.lit(","), bottom, F.lit("]}]}}}}"))
+    return pages.select("conv_id", body.alias("json"))
+
+
+@query("SELECT conv_id, CAST(conv_id * 100 + turn AS VARCHAR) AS id, text, role AS author_id FROM conversations")
+def timeline_posts(t):
+    return readers.timeline_page(_pages_of_timeline(t), "json", ["conv_id"])[0].select("conv_id", "id", "text", "author_id")
+
+
+@query("SELECT DISTINCT conv_id, 'c' || conv_id AS cursor FROM conversations")
+def timeline_cursors(t):
+    return readers.timeline_page(_pages_of_timeline(t), "json", ["conv_id"])[1]
+
+
+@query("""SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS id, CASE WHEN turn % 3 = 0 AND text <> '' THEN text || '+' ELSE coalesce(text, '') END AS text, CASE WHEN role <> 'system' THEN 'u_' || role END AS handle,
+    CASE WHEN role <> 'system' THEN 'https://x.com/u_' || role || '/status/' || (conv_id * 100 + turn) END AS url FROM conversations""")
+def timeline_candidates(t):
+    posts = t("conversations").select((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("id"), "text", F.when((F.col("turn") % 3 == 0) & (F.col("text") != ""), F.concat("text", F.lit("+"))).alias("note"), F.col("role").alias("author_id"), F.lit("2024").alias("created_at"))
+    users = t("conversations").filter("role != 'system'").select(F.col("role").alias("id"), F.concat(F.lit("u_"), "role").alias("username"), F.upper("role").alias("name")).distinct()
+    return readers.timeline_candidates(posts, users).select("id", "text", "handle", "url")
+
+
+@query("""SELECT event_id, 'h' || user_id AS hashtags, CASE WHEN event_id % 2 = 0 THEN 'https://a.org/' || event_id ELSE '' END AS urls, CASE event_id % 4 WHEN 0 THEN 'thread' WHEN 1 THEN 'reply' WHEN 2 THEN 'quote' ELSE 'original' END AS kind, CASE WHEN event_id % 3 = 0 THEN 'photo' ELSE 'video' END AS media FROM events""")
+def stored_entities(t):
+    k, tag = F.col("event_id"), F.concat(F.lit("H"), "user_id")
+    urls = F.concat(F.lit('[{"url":"https://t.co/x"}'), F.when(k % 2 == 0, F.concat(F.lit(',{"expanded_url":"https://a.org/'), k, F.lit('"}'))).otherwise(""), F.lit("]"))
+    kind = F.when(k % 4 == 0, '"self_thread":{"id":1},').when(k % 4 == 1, '"in_reply_to_tweet_id":"1","in_reply_to_status_id_str":"1",').when(k % 4 == 2, '"quoted_status_id_str":"2",').otherwise("")
+    media = F.when(k % 3 == 0, '"media":[{"type":"photo"},{"type":"photo"}],').otherwise("")
+    inner = F.concat(F.lit("{"), kind, F.when(k % 3 != 0, '"extended_entities":{"media":[{"type":"video"}]},').otherwise(""), F.lit('"entities":{'), media, F.lit('"hashtags":[{"text":"'), tag, F.lit('"}],"urls":'), urls, F.lit("}}"))
+    json = F.when(k % 5 < 3, inner).otherwise(F.concat(F.lit('{"legacy":'), inner, F.lit("}")))
+    rows = readers.stored_entities(t("events").select("event_id", json.alias("json")), "json")
+    return rows.select("event_id", F.array_join("hashtags", ",").alias("hashtags"), F.array_join("urls", ",").alias("urls"), "kind", F.array_join("media", ",").alias("media"))
+
+
+@query("""SELECT p_partkey, p_size || '. **A** [' || p_name || '](u' || p_partkey || ')' || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE chr(10) || '   ' || p_type END AS line FROM part""")
+def report_lines(t):
+    k = F.col("p_partkey")
+    return t("part").select("p_partkey", sinks.report_line(F.col("p_size"), F.lit("A"), F.col("p_name"), F.concat(F.lit("u"), k), F.col("p_type"), k % 2 == 0).alias("line"))

@@ -139,3 +139,50 @@ def first_text(sources: list[DataFrame], id_col: str = "id", text: str = "text")
         rows = part if rows is None else rows.unionByName(part)
     w = Window.partitionBy(id_col).orderBy("_p", text)
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(id_col, text)
+
+
+TWEET = "struct<__typename: string, rest_id: string, legacy: struct<full_text: string, user_id_str: string>>"
+ENTRY = f"""struct<content: struct<entryType: string, cursorType: string, value: string,
+itemContent: struct<tweet_results: struct<result: struct<__typename: string, rest_id: string, legacy: struct<full_text: string, user_id_str: string>, tweet: {TWEET}>>>>>""".replace("\n", " ")
+TIMELINE = f"struct<data: struct<bookmark_timeline_v2: struct<timeline: struct<instructions: array<struct<type: string, entries: array<{ENTRY}>>>>>>>"
+
+
+def timeline_page(df: DataFrame, json: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Posts (keep, id, text, author_id) of timeline pages, unwrapped where their visibility is limited, and each page's bottom cursor (keep, cursor)."""
+    steps = F.from_json(F.col(json), TIMELINE)["data"]["bookmark_timeline_v2"]["timeline"]["instructions"]
+    steps = F.filter(F.coalesce(steps, F.array().cast(f"array<struct<type: string, entries: array<{ENTRY}>>>")), lambda i: i["type"] == "TimelineAddEntries")
+    entries = df.select(*keep, F.explode(F.flatten(F.transform(steps, lambda i: F.coalesce(i["entries"], F.array().cast(f"array<{ENTRY}>"))))).alias("e"))
+    c, result = F.col("e.content"), F.col("e.content.itemContent.tweet_results.result")
+    limited = (result["__typename"] == "TweetWithVisibilityResults") & result["tweet"].isNotNull()
+    pick = lambda f: F.when(limited, f(result["tweet"])).otherwise(f(result))
+    posts = entries.filter(c["entryType"] == "TimelineTimelineItem").select(
+        *keep, pick(lambda r: r["rest_id"]).alias("id"), pick(lambda r: r["legacy"]["full_text"]).alias("text"), pick(lambda r: r["legacy"]["user_id_str"]).alias("author_id")
+    )
+    bottom = entries.filter((c["entryType"] == "TimelineTimelineCursor") & (c["cursorType"] == "Bottom")).select(*keep, c["value"].alias("cursor"))
+    return posts.filter("id is not null"), bottom
+
+
+def timeline_candidates(posts: DataFrame, users: DataFrame) -> DataFrame:
+    """Posts (id, text, note, author_id, created_at) with their authors (id, username, name), as candidates."""
+    u = users.select(F.col("id").alias("author_id"), F.col("username").alias("handle"), "name")
+    rows = posts.join(u, "author_id", "left")
+    url = F.when(F.col("handle").isNotNull(), F.concat(F.lit("https://x.com/"), "handle", F.lit("/status/"), F.col("id")))
+    return rows.select("id", F.lit("x").alias("source"), F.coalesce(F.nullif("note", F.lit("")), "text", F.lit("")).alias("text"), "handle", "name", url.alias("url"), "created_at")
+
+
+def stored_entities(df: DataFrame, json: str) -> DataFrame:
+    """Adds the entities that a stored post's JSON holds, in either of its shapes: hashtags, urls, mentions, kind, media."""
+    listed = lambda path, kind: F.coalesce(*[F.from_json(F.get_json_object(json, p), f"array<{kind}>") for p in (f"$.{path}", f"$.legacy.{path}")], F.array().cast(f"array<{kind}>"))
+    given = lambda *paths: F.coalesce(*[F.get_json_object(json, f"$.{p}") for p in paths])
+    named = lambda rows, f: F.filter(F.transform(rows, f), lambda x: x.isNotNull() & (x != ""))
+    urls = named(listed("entities.urls", "struct<expanded_url: string, url: string>"), lambda u: F.coalesce(u["expanded_url"], u["url"]))
+    media = F.array_distinct(named(listed("entities.media", "struct<type: string>"), lambda m: m["type"]))
+    more = F.array_distinct(named(listed("extended_entities.media", "struct<type: string>"), lambda m: m["type"]))
+    thread, reply, quote = given("self_thread", "legacy.self_thread"), given("in_reply_to_tweet_id", "legacy.in_reply_to_status_id_str"), given("quoted_tweet_id_str", "legacy.quoted_status_id_str", "quoted_status_id_str")
+    return df.withColumns({
+        "hashtags": named(listed("entities.hashtags", "struct<tag: string, text: string>"), lambda h: F.lower(F.coalesce(h["tag"], h["text"]))),
+        "urls": F.filter(urls, lambda u: ~u.contains("twitter.com") & ~u.contains("t.co/") & ~u.contains("x.com/")),
+        "mentions": named(listed("entities.user_mentions", "struct<screen_name: string, username: string>"), lambda m: F.lower(F.coalesce(m["screen_name"], m["username"]))),
+        "kind": F.when(thread.isNotNull(), "thread").when(reply.isNotNull(), "reply").when(quote.isNotNull(), "quote").otherwise("original"),
+        "media": F.when(F.size(media) > 0, media).otherwise(more),
+    })
