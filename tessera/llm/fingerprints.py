@@ -22,7 +22,7 @@ A sample is kept as 32 hash bits of (word, t).  A score is held in the upper 31
 bits of a long and the sample in the lower 32, so that one ``min`` of longs for
 each sample finds both, inside generated code, with partial aggregation.
 
-Defined cases: null texts are empty; a text without words has the fingerprint of
+Defined cases: ids are integers; null texts are empty; a text without words has the fingerprint of
 the empty bag, equal to that of any other such text; rows that repeat an id are
 documents of their own, ordered by text.
 """

@@ -28,7 +28,7 @@ still hold several components are compared sketch by sketch where they lie, in
 tiles; only pairs of different components and near sketches ever become rows.  So
 no link between components is missed, and no group is expanded into pairs.
 
-Defined cases: a null or empty text, or one of white space, has no shingles and
+Defined cases: ids are integers; a null or empty text, or one of white space, has no shingles and
 is its own component; with fewer than five words the sequence is one shingle;
 rows that share an id are one node; null ids stay null; an empty table gives an
 empty table; other columns are ignored by the report and carried by

@@ -18,7 +18,7 @@ longer, so every factor becomes a duplicate span.
 A word is removed if a window of ``width`` consecutive words that covers it also
 starts in a document with a smaller id.  Windows are judged on the input.
 
-Defined cases: a null text has no words; documents shorter than a window stay as
+Defined cases: ids are integers; a null text has no words; documents shorter than a window stay as
 they are; a null id neither removes nor loses words; rows that share an id don't
 count as earlier than one another; a repeat inside one document stays; an empty
 table gives an empty table; columns besides id and text are ignored.

@@ -15,7 +15,7 @@ window by window in a second round.
 A byte is removed if a string of ``width`` bytes that covers it also starts in a
 document with a smaller id.  Strings are judged on the input, and end with it.
 
-Defined cases: a null text is empty; shorter texts stay whole; a null id neither
+Defined cases: ids are integers; a null text is empty; shorter texts stay whole; a null id neither
 removes nor loses bytes; rows that share an id don't count as earlier than one
 another; a repeat inside one document stays; an empty table gives an empty
 table; other columns are ignored.  Spans may cut a UTF-8 character.
