@@ -99,7 +99,8 @@ def range_bucket(cols: list[str], cuts: list[tuple]) -> Column:
     def halve(at, step):
         return F.when(F.coalesce(F.get(bounds, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at)
 
-    return F.aggregate(steps, F.lit(0), halve)
+    # Never null, and seen to be so: else plans that join on the range filter nulls out in one place and not in the other, and share nothing.
+    return F.coalesce(F.aggregate(steps, F.lit(0), halve), F.lit(0))
 
 
 def with_neighbours(rows: DataFrame, key: list[str], parts: int, split: list[str] | None = None, before=True, after=True, cyclic=False) -> DataFrame:
