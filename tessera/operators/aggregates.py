@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars
+from . import ranges
 
 
 def corpus_stats(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
@@ -102,10 +103,26 @@ def cost_floor(counts: DataFrame, who: str, cap: int, width: int) -> DataFrame:
 
 
 def quartiles(df: DataFrame, value: str) -> DataFrame:
-    """Least, quartiles by linear interpolation, mean and greatest."""
-    p = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    row = df.agg(F.min(value).alias("least"), p.alias("p"), F.avg(value).alias("mean"), F.max(value).alias("most"))
-    return row.select("least", F.col("p")[0].alias("p25"), F.col("p")[1].alias("median"), F.col("p")[2].alias("p75"), "mean", "most")
+    """Least, quartiles by linear interpolation, mean and greatest; null where there are no values.
+
+    Distinct values are counted and the counts summed by ranges, so no task holds all values.
+    """
+    row = df.agg(F.min(value).alias("least"), F.avg(value).alias("mean"), F.max(value).alias("most"), F.count(value).alias("_n"))
+    per = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    per = ranges.running(per, [F.asc("_v")], {"_at": F.col("_c")}).crossJoin(F.broadcast(row.select("_n")))  # one row
+    picks, shares = [], {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    for name, share in shares.items():
+        place = (F.col("_n") - 1) * F.lit(share)
+        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            here = (F.col("_at") <= rank) & (rank < F.col("_at") + F.col("_c"))
+            picks.append(F.max(F.when(here, F.col("_v"))).cast("double").alias(f"_{name}_{side}"))
+    row = row.crossJoin(F.broadcast(per.agg(*picks)))  # one row
+    cut = []
+    for name, share in shares.items():
+        place = (F.col("_n") - 1) * F.lit(share)
+        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        cut.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
+    return row.select("least", *cut, "mean", "most")
 
 
 def histogram(df: DataFrame, value: str, width: float, buckets: int = 10) -> DataFrame:
@@ -136,9 +153,12 @@ def probe(df: DataFrame, keys: list[str], known: Column, id_col: str, samples: i
 
 
 def merged_stats(df: DataFrame, sums: list[str], flags: list[str], sets: list[str]) -> DataFrame:
-    """Counters summed, flags or-ed, lists united."""
-    union = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(s)))).alias(s) for s in sets]
-    return df.agg(*[F.sum(s).alias(s) for s in sums], *[F.bool_or(f).alias(f) for f in flags], *union)
+    """Counters summed, flags or-ed, lists united.  Only distinct elements of the lists come together."""
+    out = df.agg(*[F.sum(s).alias(s) for s in sums], *[F.bool_or(f).alias(f) for f in flags])
+    for s in sets:
+        distinct = df.select(F.explode(s).alias("_e")).distinct()
+        out = out.crossJoin(distinct.agg(F.array_sort(F.collect_list("_e")).alias(s)))  # one row
+    return out.select(*sums, *flags, *sets)
 
 
 def guard_counts(df: DataFrame, guards: list[tuple[str, Column]]) -> DataFrame:

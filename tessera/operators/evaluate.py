@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from . import ranges
+
 
 def precision_at(df: DataFrame, positive: Column, order: list[Column], k: int) -> DataFrame:
     """Share of positives among the first ``k`` rows, or among all where there are fewer."""
@@ -25,8 +27,8 @@ def auc(df: DataFrame, positive: Column, score: Column) -> DataFrame:
     """Probability that a positive scores above a negative, ties half: from counts by distinct score, no pairs."""
     rows = df.select(positive.cast("int").alias("y"), score.cast("double").alias("s")).filter("s is not null and y is not null")
     per = rows.groupBy("s").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wins = per.withColumn("w", F.col("p") * (below + F.col("n") / 2))
+    per = ranges.running(per, [F.asc("s")], {"below": F.col("n")})
+    wins = per.withColumn("w", F.col("p") * (F.col("below") + F.col("n") / 2))
     return wins.agg((F.sum("w") / (F.sum("p") * F.sum("n"))).alias("auc"))
 
 
@@ -34,11 +36,10 @@ def roc(df: DataFrame, positive: Column, score: Column) -> DataFrame:
     """(threshold, tpr, fpr) at each distinct score, from the highest; the point at infinity is (0, 0)."""
     rows = df.select(positive.cast("int").alias("y"), score.cast("double").alias("threshold")).filter("threshold is not null and y is not null")
     per = rows.groupBy("threshold").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-    every = Window.partitionBy(F.lit(0))
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(
-        "threshold", (F.sum("p").over(down) / F.sum("p").over(every)).alias("tpr"), (F.sum("n").over(down) / F.sum("n").over(every)).alias("fpr")
-    )
+    per = ranges.running(per, [F.desc("threshold")], {"p_above": F.col("p"), "n_above": F.col("n")})
+    total = F.broadcast(per.agg(F.sum("p").alias("p_all"), F.sum("n").alias("n_all")))  # one row
+    tpr, fpr = (F.col("p_above") + F.col("p")) / F.col("p_all"), (F.col("n_above") + F.col("n")) / F.col("n_all")
+    return per.crossJoin(total).select("threshold", tpr.alias("tpr"), fpr.alias("fpr"))
 
 
 def label_counts(df: DataFrame, label: str, positive: list[str], negative: list[str], forbidden: list[str] = ()) -> DataFrame:

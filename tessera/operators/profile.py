@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, scalars
+from . import ranges
 
 
 def entities(df: DataFrame, text: str) -> DataFrame:
@@ -62,8 +63,9 @@ def kmeans(df: DataFrame, id_col: str, vector: str, k: int, dims: int = 32, roun
     rows = df.select(id_col, F.array(*[F.col(vector)[i].cast("double") for i in take]).alias("v"))
     n = rows.count()
     k = min(k, n)
-    ranked = rows.orderBy(id_col)
-    centres = np.array([ranked.offset(int(i * n / k)).limit(1).first()["v"] for i in range(k)])
+    starts = [int(i * n / k) for i in range(k)]
+    first = ranges.numbered(rows, [F.asc(id_col)], "_at").filter(F.col("_at").isin(starts)).collect()  # k rows
+    centres = np.array([r["v"] for r in sorted(first, key=lambda r: r["_at"])])
 
     def nearest(c: np.ndarray) -> Column:
         gaps = [
