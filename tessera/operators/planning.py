@@ -70,6 +70,7 @@ def diversified(df: DataFrame, pool: str, id_col: str, relevance: str, author: s
     pick = lambda like: F.struct((F.lit(1 - balance) * like - F.lit(balance) * F.col("rel")).alias("s"), (-F.col("rel")).alias("r"), "id", "who", "v")
     picked = graph.written(rows.groupBy("pool").agg(F.array(F.min(pick(F.lit(0.0)))).alias("picks")))
     for n in range(1, k):
+        before = picked
         # A pool that had no row to give in the last round has none now.
         open_ = picked.filter(F.size("picks") == n).withColumnRenamed("pool", "of")
         left = rows.join(open_, F.col("pool").eqNullSafe(F.col("of"))).drop("of")
@@ -78,6 +79,8 @@ def diversified(df: DataFrame, pool: str, id_col: str, relevance: str, author: s
         best = left.groupBy(F.col("pool").alias("of")).agg(F.min(pick(like)).alias("next"))
         picked = picked.join(best, F.col("pool").eqNullSafe(F.col("of")), "left")
         picked = picked.select("pool", F.when(F.col("next").isNotNull(), F.concat("picks", F.array("next"))).otherwise(F.col("picks")).alias("picks"))
-        picked = graph.written(picked)
+        grown = graph.written(picked)
+        graph.forget(before)
+        picked = grown
     out = picked.select("pool", F.posexplode("picks").alias("at", "p"))
     return out.select(F.col("pool").alias(pool), F.col("p.id").alias(id_col), (F.col("at") + 1).alias("rank"), (-F.col("p.s")).alias("score"))

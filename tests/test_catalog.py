@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, scalars
-from tessera.operators import aggregates, dedup, evaluate, graph, planning, profile, scoring, search, windows
+from tessera.operators import aggregates, dedup, evaluate, graph, planning, profile, ranges, scoring, search, windows
 from tessera.plans import catalog
 from tessera.sources import readers, sinks
 from tessera.streaming import operators as stream, paged
@@ -119,6 +119,42 @@ def test_components_and_events(spark):
     assert {r.id: r.group for r in dedup.event_groups(df, "id", "t").collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
 
 
+@pytest.mark.parametrize("rare", [1, 2, 64])
+def test_events_by_two_weak_bigrams_equal_all_pairs(spark, rare):
+    rng = random.Random(rare)
+    words = ["alpha", "bravo", "cedar", "delta", "ember", "fjord", "grove", "haven"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([2, 3, 4]))) for _ in range(60)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    grams = {r.id: {(g.a, g.b, g.strong) for g in r.g or []} for r in df.select("id", scalars.distinctive_bigrams(F.col("t")).alias("g")).collect()}
+    group = {i: i for i in grams}
+
+    def top(i):
+        return i if group[i] == i else top(group[i])
+
+    for i in grams:
+        for j in grams:
+            shared = grams[i] & grams[j]
+            if i < j and (any(g[2] for g in shared) or len(shared) >= 2):
+                x, y = sorted((top(i), top(j)))
+                group[y] = x
+    assert {r.id: r.group for r in dedup.event_groups(df, "id", "t", rare=rare).collect()} == {i: top(i) for i in grams}
+
+
+def test_running_sums_over_ranges(spark):
+    rows = [(i, (i * 37) % 50, i % 3 if i % 7 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, k long, v long").repartition(7)
+    got = {r.id: (r.before, r.at) for r in ranges.numbered(ranges.running(df, [F.desc("k"), F.asc("id")], {"before": F.col("v")}), [F.desc("k"), F.asc("id")], "at").collect()}
+    want, total = {}, 0
+    for at, (i, _, v) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0]))):
+        want[i] = (total, at)
+        total += v or 0
+    assert got == want
+    assert ranges.numbered(df.limit(0), [F.asc("id")], "at").count() == 0
+    values = spark.createDataFrame([(x,) for x in [3.0, None, 1.0, 2.0, 2.0, 10.0]], "x double")
+    assert tuple(aggregates.quartiles(values, "x").first()) == (1.0, 2.0, 2.0, 3.0, 3.6, 10.0)
+    assert tuple(aggregates.quartiles(values.limit(0), "x").first()) == (None,) * 6
+
+
 def test_knn_skips_odd_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0]), (4, [float("nan"), 1.0]), (5, [1.0, 1.0])], "id int, v array<double>")
     assert [(r.id, round(r.score, 4)) for r in search.knn(df, "id", "v", [1.0, 0.0]).collect()] == [(1, 1.0), (5, 0.7071), (2, 0.0)]
