@@ -95,23 +95,24 @@ def knn(vectors: DataFrame, id_col: str, vector_col: str, query: list[float], k:
 
 def hybrid(
     docs: DataFrame, id_col: str, text_col: str, query: str, favoured: Column, semantic: DataFrame | None = None,
-    limit: int = 20, candidates: int = 80,
+    limit: int = 20, candidates: int | None = None,
 ) -> DataFrame:
     """(id, score, semantic, exact, lexical, source) of the best documents.
 
-    Candidates are the ``candidates`` best by BM25 and the rows of ``semantic``
-    (id, score).  Every full-text hit counts as exact: the rank that the index
+    Candidates are the ``candidates`` best by BM25 (if not given: 80, or
+    ``limit`` if that is more) and the rows of ``semantic`` (id, score).  Every full-text hit counts as exact: the rank that the index
     gives a hit is never positive, so its share is always 1.
     """
     limit = max(1, min(limit, 200))
+    candidates = max(limit, 80) if candidates is None else candidates
     terms = _tokens(query)[:16]
-    hits = bm25(docs, id_col, text_col, terms).orderBy(F.desc("rank"), id_col).limit(max(limit, candidates))
+    hits = bm25(docs, id_col, text_col, terms).orderBy(F.desc("rank"), id_col).limit(candidates)
     found = hits.select(id_col, F.lit(1.0).alias("exact"))
     if semantic is not None:
         found = found.join(semantic.select(id_col, F.col("score").alias("semantic")), id_col, "full")
     else:
         found = found.withColumn("semantic", F.lit(0.0))
-    rows = docs.join(F.broadcast(found), id_col)  # at most 2 * max(limit, candidates) rows
+    rows = docs.join(F.broadcast(found), id_col)  # ``candidates`` rows and those of ``semantic``
     exact, sem = F.coalesce("exact", F.lit(0.0)), F.coalesce("semantic", F.lit(0.0))
     lex, src = lexical(F.col(text_col), query, terms), F.when(favoured, 1.0).otherwise(0.3)
     a, b, c, d = fixed.HYBRID

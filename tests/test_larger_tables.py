@@ -37,3 +37,13 @@ def test_profile_row_without_orders(spark, tmp_path):
         rows.write.parquet(f"{tmp_path}/{t}.parquet")
     rows = same_as_sql(spark, str(tmp_path), "profile_rows", ["customer", "nation", "orders"])
     assert any(r[1] is None and r[3] == 0 for r in rows) and any(r[1] is None and r[3] > 0 for r in rows) and any(r[1] for r in rows)
+
+
+def test_hybrid_takes_as_many_candidates_as_given(spark, tmp_path):
+    docs = [(i, "nation " * (1 + i % 3) + f"of word{i} " * (i % 11 + 1), "en", f"src{i % 3}", 0) for i in range(110)]
+    docs += [(i, f"plain word{i}", "en", "src1", 0) for i in range(110, 500)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    vectors = [(i, [1.0, (i * 37 % 101) / 100, (i * 53 % 97) / 100], 0) for i in range(450)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = same_as_sql(spark, str(tmp_path), "hybrid_with_vectors", ["documents", "embeddings"])
+    assert sum(r[3] == 1.0 for r in rows) == 80 and len(rows) == 100
