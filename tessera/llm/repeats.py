@@ -34,8 +34,14 @@ from .common import durable, shuffle_partitions
 
 #: Tokens that are hashed at once, about: bounds the memory of a task.
 CHUNK = 1 << 20
-#: Bytes of input for each bin at most, about.
-BIN_BYTES = 16 << 20
+#: Blocks that a task holds before it deals them out.
+HELD = 1 << 19
+#: Bytes of input files for each bin at most, about.
+BIN_BYTES = 4 << 20
+#: Windows for each bin of the second round at most, about; they are counted first.
+BIN_WINDOWS = 1 << 20
+#: Bytes of payload in one record batch, about.
+BATCH_BYTES = 8 << 20
 
 _MULT = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
@@ -170,23 +176,23 @@ def unpack(data: bytes, **kinds: str) -> dict[str, np.ndarray]:
 
 def unpacked(column: pa.ChunkedArray, **kinds: str) -> dict[str, np.ndarray]:
     parts = [unpack(x.as_py(), **kinds) for x in column]
-    return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t) for k, t in kinds.items()}
+    return {k: np.concatenate([p.pop(k) for p in parts]) if parts else np.zeros(0, t) for k, t in kinds.items()}
 
 
 def dealt(bins: np.ndarray, arrays: dict[str, np.ndarray], kind: int) -> Iterator[pa.RecordBatch]:
-    """One row (kind, bin, payload) for each bin that has rows."""
+    """One row (kind, bin, payload) for each bin that has rows, in batches of bounded size."""
     order = np.argsort(bins, kind="stable")
     cut = np.flatnonzero(np.diff(bins[order])) + 1
     rows = np.split(order, cut) if len(order) else []
-    if rows:
-        yield pa.record_batch(
-            [
-                pa.array(np.full(len(rows), kind, "i4")),
-                pa.array(np.array([bins[r[0]] for r in rows], "i4")),
-                pa.array([pack(**{k: a[r] for k, a in arrays.items()}) for r in rows], pa.binary()),
-            ],
-            names=["kind", "bin", "payload"],
-        )
+    at, payload, held = [], [], 0
+    for i, r in enumerate(rows):
+        at.append(bins[r[0]])
+        payload.append(pack(**{k: a[r] for k, a in arrays.items()}))
+        held += len(payload[-1])
+        if held > BATCH_BYTES or i == len(rows) - 1:
+            columns = [pa.array(np.full(len(at), kind, "i4")), pa.array(np.array(at, "i4")), pa.array(payload, pa.binary())]
+            yield pa.record_batch(columns, names=["kind", "bin", "payload"])
+            at, payload, held = [], [], 0
 
 
 DEALT = "kind int, bin int, payload binary"
@@ -247,7 +253,7 @@ def scan_blocks(docs: DataFrame, tokens_of: Callable, width: int, gram: int, nam
     """Packed blocks of all documents, dealt to bins.
 
     ``lead_of(bytes, places)`` gives the lead and key of anchors, else the key
-    is the hash of the anchor; ``bin_of(lead)`` the bin, else the key does.
+    is the hash of the anchor; ``bin_of(lead, key)`` the bin, else the key does.
     """
 
     def run(batches):
@@ -273,15 +279,15 @@ def scan_blocks(docs: DataFrame, tokens_of: Callable, width: int, gram: int, nam
                     for k, x in zip(BLOCK, part):
                         got[k].append(x)
                     held += len(at)
-                    if held > CHUNK:
+                    if held > HELD:
                         yield from flush(got)
                         got, held = {k: [] for k in BLOCK}, 0
         yield from flush(got)
 
     def flush(got):
         if got["key"]:
-            arrays = {k: np.concatenate(x) for k, x in got.items()}
-            at = bin_of(arrays["lead"]) if bin_of else (arrays["key"] % np.uint64(bins)).astype("i8")
+            arrays = {k: np.concatenate(got.pop(k)) for k in BLOCK}  # the parts go one by one
+            at = bin_of(arrays["lead"], arrays["key"]) if bin_of else (arrays["key"] % np.uint64(bins)).astype("i8")
             yield from dealt(at, arrays, 0)
 
     return docs.mapInArrow(run, DEALT)
@@ -362,6 +368,9 @@ def _of_rows(spans: dict[str, np.ndarray]) -> dict[tuple[int, int], np.ndarray]:
 def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, width: int, named: bool, bins: int, traced: bool) -> DataFrame:
     """Spans of the windows asked for that start in an earlier document too."""
     window = TRACED_WINDOW if traced else WINDOW
+    asked = found.filter(f"kind = {ASKED}").withColumn("home", F.col("bin"))
+    total = asked.agg(F.sum(F.col("place").bitwiseAND(0xFFFFFFFF))).first()[0] or 0
+    window_bins = max(bins // 4, total // BIN_WINDOWS) + 1
 
     def show(left, right):
         asked = spans_of(right)
@@ -385,7 +394,7 @@ def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, widt
             for k, x in zip(window, part):
                 got[k].append(x)
         arrays = {k: np.concatenate(x) if x else np.zeros(0, window[k]) for k, x in got.items()}
-        at = (arrays["hash"] % np.uint64(max(1, bins // 4))).astype("i8")
+        at = (arrays["hash"] % np.uint64(window_bins)).astype("i8")
         return pa.Table.from_batches(list(dealt(at, arrays, WINDOWS)), _DEALT_SCHEMA)
 
     def meet(table):
@@ -410,7 +419,6 @@ def compare_windows(docs: DataFrame, found: DataFrame, tokens_of: Callable, widt
         spans = {"doc": doc[start], "text_key": name[start], "first": first[start], "count": first[last] + width - first[start]}
         return span_table(SPANS, spans | {"source": source[start], "origin": origin[start]}, bins, traced)
 
-    asked = found.filter(f"kind = {ASKED}").withColumn("home", F.col("bin"))
     shown = docs.groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(show, DEALT)
     return shown.groupBy("bin").applyInArrow(meet, SPAN_ROWS + TRACE * traced)
 

@@ -2,13 +2,13 @@
 
 A sparse suffix array: of the suffixes of every text those that start at an
 anchor are sorted (see ``repeats``: every 50 equal bytes hold the same anchor).
-Splitters sampled from the suffixes' leading bytes range-partition them into
+Splitters sampled from the suffixes' leading 16 bytes range-partition them into
 buckets.  A bucket sorts its suffixes by multikey quicksort, whose characters
 are eight bytes wide: the first 16 bytes, then a hash of the whole block around
 the anchor, of which only equality matters, then the document.  Neighbours are
 then compared: equal blocks of a later document are repeats.
 
-A leading value is never split among buckets, so equal blocks stand in one; what
+Sixteen equal bytes are never split among buckets, so equal blocks stand in one; what
 crosses the edges of blocks, where a copied passage starts or ends, is compared
 window by window in a second round.
 
@@ -67,8 +67,17 @@ def _sorted(blocks: dict[str, np.ndarray]) -> np.ndarray:
     return multikey_order(blocks["lead"], blocks["key"], blocks["hash"], blocks["doc"])
 
 
-def sampled_splitters(docs: DataFrame, id_col: str, text_col: str, width: int, bins: int) -> np.ndarray:
-    """Leading values that cut the suffixes into ``bins`` buckets or fewer, from a bounded sample of documents."""
+def bucket_of(cuts: tuple[np.ndarray, np.ndarray], lead: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """How many of the ascending ``cuts`` (their two characters) stand at or before each suffix; only suffixes that agree with a cut's first ask for the second."""
+    at = np.searchsorted(cuts[0], lead, "right")
+    tied = np.flatnonzero(np.searchsorted(cuts[0], lead, "left") < at)
+    wide = lambda a, b: np.ascontiguousarray(np.stack([a, b], 1).astype(">u8")).view("S16").ravel()
+    at[tied] = np.searchsorted(wide(*cuts), wide(lead[tied], key[tied]), "right")
+    return at
+
+
+def sampled_splitters(docs: DataFrame, id_col: str, text_col: str, width: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading values, as two characters, that cut the suffixes into ``bins`` buckets or fewer, from a bounded sample of documents."""
     some = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("doc is not null")
     # A threshold from a count lets about SAMPLE_DOCS through.
     level = min(1 << 30, -(-SAMPLE_DOCS * (1 << 30) // max(1, docs.count())))
@@ -86,11 +95,13 @@ def sampled_splitters(docs: DataFrame, id_col: str, text_col: str, width: int, b
                 at, key = np.concatenate(at), np.concatenate(key)
                 if len(at):
                     least = at[np.argsort(key)[:SAMPLE_EACH]]
-                    yield pa.record_batch([pa.array(leading(raw, least)[0].view("i8"))], names=["lead"])
+                    yield pa.record_batch([pa.array(x.view("i8")) for x in leading(raw, least)], names=["lead", "key"])
 
-    got = np.sort(np.array([r[0] for r in some.mapInArrow(run, "lead long").collect()], "i8").view("u8"))
-    cuts = got[np.arange(1, bins) * len(got) // bins] if len(got) else got
-    return np.unique(cuts)
+    rows = some.mapInArrow(run, "lead long, key long").collect()
+    got = np.array([tuple(r) for r in rows], "i8").reshape(-1, 2).view("u8")
+    got = got[np.lexsort((got[:, 1], got[:, 0]))]
+    cuts = np.unique(got[np.arange(1, bins) * len(got) // bins], axis=0) if len(got) else got
+    return cuts[:, 0].copy(), cuts[:, 1].copy()
 
 
 def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, with_text: bool = False) -> DataFrame:
@@ -98,7 +109,7 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema[id_col].dataType.simpleString()
     cuts = sampled_splitters(docs, id_col, text_col, width, repeats.n_bins(docs))
     rows, spans, named = repeats.repeated(
-        docs, id_col, text_col, repeats.byte_values, width, GRAM, _sorted, leading, lambda lead: np.searchsorted(cuts, lead, "right")
+        docs, id_col, text_col, repeats.byte_values, width, GRAM, _sorted, leading, lambda lead, key: bucket_of(cuts, lead, key)
     )
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["spans", "kept"] * with_text
     fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import common, exact_dedup, fingerprints, html_extract, jaccard_join, mixing, queries, substring_dedup, toxicity
+from tessera.llm import common, exact_dedup, fingerprints, html_extract, jaccard_join, mixing, queries, repeats, substring_dedup, suffix_dedup, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -274,3 +274,40 @@ def test_pipeline_over_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_suffixes_of_one_leading_value_are_split(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join("x" * 12 + f"{n:04d}" for n in rng.integers(0, 10000, 400)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cuts = suffix_dedup.sampled_splitters(df, "doc_id", "text", 50, 32)
+    lead, key = [], []
+    for t in texts:
+        raw = np.frombuffer(t.encode(), "u1")
+        both = suffix_dedup.leading(raw, repeats.blocks_of(repeats.byte_values(raw), 50, 16)[0])
+        lead, key = [*lead, both[0]], [*key, both[1]]
+    lead, key = np.concatenate(lead), np.concatenate(key)
+    size = np.bincount(suffix_dedup.bucket_of(cuts, lead, key))
+    assert np.bincount(np.unique(lead, return_inverse=True)[1]).max() > 0.2 * len(lead) and size.max() < 0.1 * len(lead)
+    order = np.lexsort((key, lead))
+    assert (np.diff(suffix_dedup.bucket_of(cuts, lead, key)[order]) >= 0).all()
+
+
+def test_windows_in_more_bins_give_the_same(spark, monkeypatch):
+    base = "".join(chr(97 + int(x)) for x in np.random.default_rng(4).integers(0, 26, 400))
+    rows = [(i, base[: 60 + i] + f"{i:03d}" * 40 + base[200 + i :]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = suffix_dedup.dedup_suffixes(df).collect()
+    monkeypatch.setattr(repeats, "BIN_WINDOWS", 100)
+    got = suffix_dedup.dedup_suffixes(df).collect()
+    assert sorted(got) == sorted(want) and any(r.n_removed for r in got)
+
+
+def test_payloads_travel_in_batches_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 10_000)
+    rng = np.random.default_rng(5)
+    arrays = {"a": rng.integers(0, 1 << 62, 20_000)}
+    bins = rng.integers(0, 50, 20_000)
+    batches = list(repeats.dealt(bins, arrays, 7))
+    back = {b: repeats.unpack(x, a="i8")["a"] for batch in batches for b, x in zip(batch.column("bin").to_pylist(), batch.column("payload").to_pylist())}
+    assert len(batches) > 5 and sorted(back) == list(range(50)) and all((back[b] == arrays["a"][bins == b]).all() for b in back)
