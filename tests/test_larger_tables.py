@@ -3,6 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from tessera.functions import wording
 from tessera.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
@@ -47,3 +48,11 @@ def test_hybrid_takes_as_many_candidates_as_given(spark, tmp_path):
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     rows = same_as_sql(spark, str(tmp_path), "hybrid_with_vectors", ["documents", "embeddings"])
     assert sum(r[3] == 1.0 for r in rows) == 80 and len(rows) == 100
+
+
+def test_language_counts_are_computed_once(spark):
+    rows = spark.range(1).select(F.lit("le la les des une est et que qui dans pour pas avec sur je vous nous 中文字").alias("text"))
+    got = rows.select(wording.latin_language(F.col("text")).alias("language"), wording.script_of(F.col("text")).alias("script"))
+    assert tuple(got.first()) == ("French", "Chinese")
+    plan = rows.select(wording.latin_language(F.col("text")).alias("language"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("split(") == 1
